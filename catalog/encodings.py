@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalog.fixture import featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
 from pledgekit.operators import encoding
+from pledgekit.runtime import stage
 from pledgekit.spec import ClusterSpec, FeatureSpec
 
 FEATURES = FeatureSpec()
@@ -43,8 +44,8 @@ def indexed_sql(rows: str, columns=INDEXED, prefix: str = "idx", name: str = "in
     + f"""SELECT "ID", {", ".join(f"{c}_idx" for c in INDEXED)} FROM indexed""",
 )
 def string_index(spark, sf_dir):
-    """Indexer fitted in one pass for all five columns."""
-    rows = featured(spark, sf_dir).select("ID", *INDEXED)
+    """Indexer fitted in one pass for all five columns, over a staged table."""
+    rows = stage(featured(spark, sf_dir).select("ID", *INDEXED), "index-input")
     model = encoding.string_indexer(INDEXED).fit(rows)
     return model.transform(rows).select("ID", *[f"{c}_idx" for c in INDEXED])
 
@@ -148,6 +149,12 @@ def cluster_prep(spark, sf_dir):
     return rounded(prepared.select("ID", *[slots[i].alias(n) for i, n in enumerate(names)]), *names)
 
 
+def staged_splits(spark, sf_dir):
+    """Model inputs written once: labels, moments and encoding each read them."""
+    columns = ["ID", *FEATURES.inputs, *FEATURES.engagement, "split"]
+    return stage(split_featured(spark, sf_dir).select(*columns), "featured", ["split"])
+
+
 TRAIN_ROWS = "train_rows AS (SELECT * FROM parts WHERE split = 'train')"
 
 
@@ -166,7 +173,7 @@ TRAIN_ROWS = "train_rows AS (SELECT * FROM parts WHERE split = 'train')"
 )
 def prep_pipeline(spark, sf_dir):
     """The fitted preparation taken apart again: every statistic comes from the training rows."""
-    rows = split_featured(spark, sf_dir)
+    rows = staged_splits(spark, sf_dir)
     model = encoding.fit_preparation(rows.filter(F.col("split") == "train"))
     prepared = encoding.prepare(rows, model)
     attrs = prepared.schema["features_clf"].metadata["ml_attr"]
@@ -209,6 +216,6 @@ def _slots_sql() -> str:
     + "SELECT CAST(row_number() OVER (ORDER BY g, p) - 1 AS INT) AS slot, name FROM names",
 )
 def slot_names(spark, sf_dir):
-    rows = split_featured(spark, sf_dir)
+    rows = staged_splits(spark, sf_dir)
     model = encoding.fit_preparation(rows.filter(F.col("split") == "train"))
     return encoding.slot_names(encoding.prepare(rows, model), "features")

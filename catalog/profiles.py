@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from catalog.fixture import campaigns, featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
-from pledgekit.operators import quality, ranking
+from pledgekit.operators import quality, ranking, reports
 from pledgekit.plans.campaigns import clean
-from pledgekit.sources.tables import CAMPAIGN_SCHEMA
+from pledgekit.sources.tables import CAMPAIGN_SCHEMA, preview as first_rows
 from pledgekit.spec import ENGINEERED, CampaignSpec, FeatureSpec
 
 SPEC = CampaignSpec()
@@ -232,31 +230,26 @@ def iqr_outliers_sketch(spark, sf_dir):
     return quality.iqr_outliers(featured(spark, sf_dir), SPEC.amounts)
 
 
-CORRELATED = {
-    "Goal (log)": ("log1p(goal)", "ln(1 + goal)"),
-    "Pledged (log)": ("log1p(pledged)", "ln(1 + pledged)"),
-    "Backers (log)": ("log1p(backers)", "ln(1 + backers)"),
-    "Duration (d)": ("campaign_duration_days", "campaign_duration_days"),
-    "Funding ratio": ("funding_ratio", "funding_ratio"),
-    "Success": ("label", "label"),
-}
-
-
-def _correlation_sql() -> str:
+def _correlation_sql(cap: float | None = None) -> str:
+    texts = {name: text.replace("log1p(", "ln(1 + ") for name, text in reports.CORRELATED.items()}
+    if cap is not None:
+        texts["Funding ratio"] = f"LEAST(funding_ratio, {cap})"
     parts = []
-    for x, (_, a) in CORRELATED.items():
-        for y, (_, b) in CORRELATED.items():
-            value = "CAST(1 AS DOUBLE)" if x == y else f"round(corr({a}, {b}), 3)"
-            parts.append(f"SELECT '{x}' AS feature_x, '{y}' AS feature_y, {value} AS corr FROM feat")
-    return with_campaigns() + _union([p if "corr(" in p else p + " LIMIT 1" for p in parts]).replace(
-        "FROM feat LIMIT 1", ""
-    )
+    for x, a in texts.items():
+        for y, b in texts.items():
+            value = "CAST(1 AS DOUBLE) AS corr" if x == y else f"round(corr({a}, {b}), 3) AS corr FROM feat"
+            parts.append(f"SELECT '{x}' AS feature_x, '{y}' AS feature_y, {value}")
+    return with_campaigns() + _union(parts)
 
 
 @register("correlation_matrix", _correlation_sql())
 def correlation_matrix(spark, sf_dir):
-    features = {name: F.expr(text) for name, (text, _) in CORRELATED.items()}
-    return quality.correlation_matrix(featured(spark, sf_dir), features)
+    return quality.correlation_matrix(featured(spark, sf_dir), reports.correlated_features())
+
+
+@register("correlation_matrix_clipped", _correlation_sql(1.0))
+def correlation_matrix_clipped(spark, sf_dir):
+    return quality.correlation_matrix(featured(spark, sf_dir), reports.correlated_features(1.0))
 
 
 CANDIDATES = (
@@ -305,6 +298,4 @@ def leakage_screen(spark, sf_dir):
     + 'SELECT "ID", name, category, goal, state FROM campaigns ORDER BY "ID" LIMIT 5',
 )
 def preview(spark, sf_dir):
-    from pledgekit.sources.tables import preview as first_rows
-
     return first_rows(campaigns(spark, sf_dir), "ID", 5, ["ID", "name", "category", "goal", "state"])

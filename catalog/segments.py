@@ -9,11 +9,13 @@ from catalog.fixture import featured, with_campaigns
 from catalog.registry import register, rounded
 from pledgekit.functions.columns import nearest, rows_of
 from pledgekit.operators import clustering, encoding, reports
+from pledgekit.runtime import stage
 from pledgekit.spec import ClusterSpec
 
 FEATURES = ClusterSpec().features
 SCALED = [f"{c}_scaled" for c in FEATURES]
 DIMS = range(len(FEATURES))
+INPUTS = [c for c in reports.ENRICHED if c != "cluster"]
 
 # Four centers in scaled space, for checks that need a known model.
 CENTERS = (
@@ -41,7 +43,9 @@ ASSIGNED_SQL = (
 
 
 def scaled(spark, sf_dir):
-    return encoding.standardise(featured(spark, sf_dir), FEATURES)
+    """Staged first: scaling and the measures on top read the table two or three times."""
+    rows = stage(featured(spark, sf_dir).select(*INPUTS), "segment-input")
+    return encoding.standardise(rows, FEATURES)
 
 
 def assigned(spark, sf_dir):

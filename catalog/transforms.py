@@ -74,11 +74,11 @@ def filter_range(spark, sf_dir):
 @register(
     "filter_pair",
     with_campaigns()
-    + """SELECT "ID", label, is_overfunded FROM feat WHERE label = 1 AND is_overfunded = 0""",
+    + """SELECT "ID", label, goal_bucket FROM feat WHERE label = 1 AND goal_bucket = 'micro'""",
 )
 def filter_pair(spark, sf_dir):
-    rows = cleaning.matching(featured(spark, sf_dir), {"label": 1, "is_overfunded": 0})
-    return rows.select("ID", "label", "is_overfunded")
+    rows = cleaning.matching(featured(spark, sf_dir), {"label": 1, "goal_bucket": "micro"})
+    return rows.select("ID", "label", "goal_bucket")
 
 
 @register("binary_label", with_campaigns() + """SELECT "ID", state, label FROM kept""")
@@ -135,11 +135,11 @@ _feature_query("log_target", "pledged_log", digits=6)
 @register(
     "inverse_log",
     with_campaigns()
-    + """SELECT "ID", round(exp(LEAST(pledged_log, 700)) - 1, 4) AS pledged_back FROM feat""",
+    + """SELECT "ID", round(exp(LEAST(pledged_log, 700)) - 1, 6) AS pledged_back FROM feat""",
 )
 def inverse_log(spark, sf_dir):
     rows = features.add_amount_from_log(featured(spark, sf_dir), "pledged_log", "pledged_back")
-    return rounded(rows.select("ID", "pledged_back"), "pledged_back", digits=4)
+    return rounded(rows.select("ID", "pledged_back"), "pledged_back")
 
 
 @register(

@@ -66,7 +66,12 @@ def hash_bucket(key: Column, buckets: int, salt: str = "", offset: int = 1) -> C
 
 
 def half_even(c: Column, digits: int) -> Column:
-    return F.bround(c, digits)
+    """Round binary halves to even, as scaling, rounding to an integer and scaling back does.
+
+    Decimal rounding (``bround``) would look at the shortest decimal form instead and differ on ties.
+    """
+    scale = float(10**digits)
+    return F.rint(c * scale) / scale
 
 
 def log_bin(amount: Column, per_decade: int) -> Column:

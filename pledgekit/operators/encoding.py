@@ -184,6 +184,12 @@ def preparation(spec: FeatureSpec = FeatureSpec()) -> Pipeline:
     return Pipeline(stages=stages)
 
 
+def feature_groups(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
+    """Declared role of each column and whether the table has it: (column, group, present)."""
+    rows = [(c, g, c in df.columns) for c, g in spec.groups()]
+    return df.sparkSession.createDataFrame(rows, "column string, group string, present boolean")
+
+
 def fit_preparation(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> PipelineModel:
     """Fit on the training rows only."""
     require_columns(train, spec.inputs + spec.engagement)

@@ -16,33 +16,51 @@ def running_totals(
     order: str,
     amounts: Sequence[str],
     by: str | None = None,
-    ranges: int = 256,
+    blocks: int = 16,
 ) -> DataFrame:
     """Add ``cum_<amount>`` (inclusive, ascending ``order``) and ``total_<amount>`` columns.
 
     ``df`` holds one row per (``by``, ``order``) value, i.e. it is already pre-aggregated. Each group
-    is cut into about ``ranges`` value ranges of like size at approximate quantiles. Only the ranges
-    are sorted, and each starts from the sum of the ranges below it. The cuts steer the balance of
-    the work alone: any cuts give the same totals. ``by`` names a report dimension (a model, a column
-    name), so the cuts and range sums stay at ``ranges`` rows per member.
+    is cut into ``blocks`` blocks of ``blocks`` value ranges of like size, at approximate quantiles.
+    Only the ranges are sorted, and each starts from the sum of the ranges below it. The cuts steer
+    the balance of the work alone: any cuts give the same totals. ``by`` names a report dimension (a
+    model, a column name), so cuts and range sums stay at ``blocks`` squared rows per member.
     """
+    ranges = blocks * blocks
     group = F.coalesce(quoted(by).cast("string"), F.lit("")) if by else F.lit("")
     rows = df.withColumn("_group", group)
-    points = [i / ranges for i in range(1, ranges)]
+    # One foldable expression rather than a plan node per point.
+    points = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
+    # A condition that always holds, on every column: the branches for the cuts and the range sums then
+    # read what the main branch reads, and all three share one shuffle of the caller's aggregate.
+    whole_rows = rows.filter(F.xxhash64(*[quoted(c) for c in df.columns]) % 2 < 2)
+    quantiles = F.percentile_approx(quoted(order), points, 4 * ranges)
+    every_block = F.transform(F.sequence(F.lit(1), F.lit(blocks - 1)), lambda k: F.element_at("cuts", k * blocks))
     cuts = (
-        rows.groupBy("_group")
-        .agg(F.percentile_approx(quoted(order), points, 4 * ranges).alias("_cuts"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("_group", "_cuts"))).alias("_by_group"))
-    )
-    placed = (
-        rows.withColumn("_cuts", cuts.scalar()[F.col("_group")])
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < quoted(order))))
-        .drop("_cuts")
+        whole_rows.groupBy("_group")
+        .agg(quantiles.alias("cuts"))
+        .select("_group", F.struct("cuts", every_block.alias("starts")).alias("c"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("_group", "c"))).alias("by_group"))
     )
+
+    def place(frame: DataFrame) -> DataFrame:
+        """Number of cuts below each value: the block first, then the cuts of that block."""
+
+        def passed(values):
+            return F.size(F.filter(values, lambda cut: cut < quoted(order)))
+
+        return (
+            frame.withColumn("_cuts", cuts.scalar()[F.col("_group")])
+            .withColumn("_block", passed(F.col("_cuts.starts")) * blocks)
+            .withColumn("_range", F.col("_block") + passed(F.slice("_cuts.cuts", F.col("_block") + 1, blocks)))
+            .drop("_cuts", "_block")
+        )
+
     below = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("_group")
     starts = (
-        placed.groupBy("_group", "_range")
+        place(whole_rows)
+        .groupBy("_group", "_range")
         .agg(*[F.sum(quoted(a)).alias(f"_sum_{a}") for a in amounts])
         .select(
             "_group",
@@ -56,8 +74,10 @@ def running_totals(
         .orderBy(quoted(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Size bound of the broadcast: (ranges + 1) rows per member of `by`, whatever the table holds.
-    return placed.join(F.broadcast(starts), ["_group", "_range"]).select(
+    # Size bound of the broadcast: `ranges` rows per member of `by`, whatever the table holds. Every
+    # range has its start; the left join only keeps Spark from pushing a not-null filter on the range
+    # below the caller's aggregate, which would stop the three readers from sharing its shuffle.
+    return place(rows).join(F.broadcast(starts), ["_group", "_range"], "left").select(
         *[quoted(c) for c in df.columns],
         *[(F.col(f"_start_{a}") + F.sum(quoted(a)).over(within)).alias(f"cum_{a}") for a in amounts],
         *[f"total_{a}" for a in amounts],

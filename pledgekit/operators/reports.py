@@ -43,6 +43,16 @@ ASSIGNMENTS = (
     "funding_ratio",
 )
 
+# Rows and columns of the published correlation matrix.
+CORRELATED = {
+    "Goal (log)": "log1p(goal)",
+    "Pledged (log)": "log1p(pledged)",
+    "Backers (log)": "log1p(backers)",
+    "Duration (d)": "campaign_duration_days",
+    "Funding ratio": "funding_ratio",
+    "Success": "label",
+}
+
 DIMENSIONS = ("country", "main_category", "launch_month", "launched_year")
 
 
@@ -91,6 +101,15 @@ def _measures() -> dict[str, Column]:
     }
 
 
+def correlated_features(ratio_cap: float | None = None) -> dict[str, Column]:
+    """Columns of the correlation matrix; ``ratio_cap`` clips the heavy-tailed funding ratio."""
+    out = {name: F.expr(text) for name, text in CORRELATED.items()}
+    if ratio_cap is not None:
+        ratio = F.col("funding_ratio")
+        out["Funding ratio"] = F.when(ratio > ratio_cap, ratio_cap).otherwise(ratio)
+    return out
+
+
 def kpi_overview(df: DataFrame) -> DataFrame:
     """Headline figures, one row."""
     return df.agg(*[m.alias(n) for n, m in _measures().items()])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from pledgekit.operators import evaluation, reports
+from pledgekit.operators import evaluation, quality, reports
 from pledgekit.plans.segmentation import Segments
 from pledgekit.plans.supervised import Supervised
 from pledgekit.sources.tables import write_csv, write_json
@@ -31,6 +31,7 @@ def result_tables(supervised: Supervised, segments: Segments) -> tuple[dict[str,
         "cluster_profiles": segments.profiles,
         "cluster_centers": segments.centers,
         "clustering_elbow": segments.elbow,
+        "correlation_matrix": quality.correlation_matrix(segments.enriched, reports.correlated_features()),
     }
     return large, small
 

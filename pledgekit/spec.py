@@ -132,4 +132,4 @@ class ClusterSpec:
     k: int = 4
     search: tuple[int, ...] = tuple(range(2, 11))
     seed: int = 42
-    parallelism: int = 1
+    parallelism: int = 4
