@@ -41,10 +41,11 @@ def segment(featured: DataFrame, spec: ClusterSpec = ClusterSpec()) -> Segments:
     """Scale, search k, fit the chosen k, and describe the clusters.
 
     The enriched table (campaigns with their cluster) is staged once, so profiles, sizes and exports
-    read columns of it instead of assigning every campaign again.
+    read columns of it instead of assigning every campaign again. Rows are sorted within partitions,
+    since the seeded choice of initial centers depends on their order.
     """
     kept = [c for c in reports.ENRICHED if c != "cluster"]
-    rows = stage(featured.select(*[quoted(c) for c in kept]), "segment-input")
+    rows = stage(featured.select(*[quoted(c) for c in kept]).sortWithinPartitions("ID"), "segment-input")
     scaling = cluster_preparation(spec).fit(rows)
     prepared = scaling.transform(rows).drop("clust_vec")
     elbow, model = fit_segments(prepared, spec)

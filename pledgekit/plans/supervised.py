@@ -64,11 +64,12 @@ def prepare_splits(
     """Split, fit the encoders on the training rows, and stage the encoded rows.
 
     The narrow featured table is staged first: fitting and encoding then read it three times without
-    repeating whatever joins produced it.
+    repeating whatever joins produced it. A sort within each partition, which moves no rows, fixes the
+    row order that seeded sampling (tree bagging) depends on.
     """
     used = [key, *features.inputs, *features.engagement, features.label, features.target, amount]
     narrow = with_split(featured, key, split).select(*[quoted(c) for c in dict.fromkeys(used)], "split", "fold")
-    rows = stage(narrow, "featured", ["split"])
+    rows = stage(narrow.sortWithinPartitions(key), "featured", ["split"])
     fitted = fit_preparation(rows.filter(F.col("split") == "train"), features)
     vectors = ["features"] + (["features_clf"] if features.engagement else [])
     encoded = prepare(rows, fitted, features).select(

@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.fixture import campaigns, featured as build_featured
-from pledgekit.operators import clustering
+from pledgekit.operators import clustering, models
 from pledgekit.plans.campaigns import with_split
 from pledgekit.plans.export import export, model_changes, result_tables, run_summary
 from pledgekit.plans.segmentation import segment
-from pledgekit.plans.supervised import BOOSTED, FOREST, LINEAR, LOGISTIC, train_and_evaluate
+from pledgekit.plans.supervised import BOOSTED, FOREST, LINEAR, LOGISTIC, prepare_splits, train_and_evaluate
 from pledgekit.runtime import fresh_path
 from pledgekit.spec import ClusterSpec, ModelSpec
 
@@ -72,6 +72,15 @@ def test_arity_covers_every_label(supervised, rows):
     assert supervised.prepared.arity == rows.select("category").distinct().count() + 1
 
 
+def test_seeded_fits_repeat(rows):
+    def importances():
+        ready = prepare_splits(rows)
+        model = models.forest(ready.arity).setNumTrees(3).setMaxDepth(2).fit(ready.train)
+        return list(model.featureImportances.toArray())
+
+    assert importances() == importances()
+
+
 def test_segments(segments, rows):
     assert sum(r["size"] for r in segments.sizes.collect()) == rows.count()
     assert segments.centers.count() == 4 and segments.elbow.count() == 3
