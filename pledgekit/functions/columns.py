@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # exp(x) leaves the double range just above 709; predictions are capped below it before expm1.
 LOG_CAP = 700.0
@@ -19,9 +20,19 @@ def quoted(name: str) -> Column:
 
 
 def is_missing(c: Column, floating: bool) -> Column:
+    """Null, or NaN where the type has one (``isnan`` of null is false)."""
     return c.isNull() | F.isnan(c) if floating else c.isNull()
 
 
+def complete(schema: T.StructType, names: Sequence[str]) -> Column:
+    """True where no named column is null or NaN, as separate conditions that scans can push down."""
+    floating = (T.DoubleType, T.FloatType)
+    present = F.lit(True)
+    for name in names:
+        present = present & ~is_missing(quoted(name), isinstance(schema[name].dataType, floating))
+    return present
+
+
 def outcome_label(state: Column, success: str) -> Column:
     return F.when(state == success, 1).otherwise(0)
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pledgekit.functions.columns import lenient_timestamp, outcome_label, quoted
+from pledgekit.functions.columns import complete, lenient_timestamp, outcome_label, quoted
 from pledgekit.runtime import require_columns
 from pledgekit.spec import CampaignSpec
 
@@ -37,7 +37,7 @@ def add_label(df: DataFrame, spec: CampaignSpec = CampaignSpec(), name: str = "l
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop rows with a null or NaN in any named column."""
     require_columns(df, columns)
-    return df.dropna(how="any", subset=list(columns))
+    return df.filter(complete(df.schema, columns))
 
 
 def fill_defaults(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> DataFrame:

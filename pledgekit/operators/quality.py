@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pledgekit.functions.columns import is_missing, lenient_timestamp, quoted, rows_of
+from pledgekit.functions.columns import complete, lenient_timestamp, quoted, rows_of
 from pledgekit.operators.ranking import approx_quantiles, exact_quantiles
 from pledgekit.runtime import require_columns
 from pledgekit.spec import CampaignSpec
@@ -156,15 +156,16 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def stage_audit(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> DataFrame:
     """Rows before and after each cleaning step, all steps counted in one pass over the raw table."""
     has_outcome = quoted(spec.state).isin(*spec.final_states)
-    complete = F.lit(True)
-    for c in spec.critical:
-        complete = complete & ~is_missing(quoted(c), _is_floating(df, c))
+    filled = complete(df.schema, spec.critical)
     dated = (
         lenient_timestamp(quoted(spec.deadline), spec.deadline_format).isNotNull()
         & lenient_timestamp(quoted(spec.launched), spec.launched_format).isNotNull()
     )
-    stages = [("final_state", has_outcome), ("complete", has_outcome & complete)]
-    stages.append(("dated", has_outcome & complete & dated))
+    stages = [
+        ("final_state", has_outcome),
+        ("complete", has_outcome & filled),
+        ("dated", has_outcome & filled & dated),
+    ]
     row = df.agg(
         F.count(F.lit(1)).alias("_after0"),
         *[_flagged(cond).alias(f"_after{i}") for i, (_, cond) in enumerate(stages, 1)],

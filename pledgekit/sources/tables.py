@@ -65,6 +65,23 @@ def scan_csv(
     )
 
 
+def convert_csv(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    target: str,
+    partition_by: Sequence[str] = (),
+    **options,
+) -> DataFrame:
+    """Parse CSV once into Parquet, which later reads split, prune and filter at the scan.
+
+    Spaces in column names become underscores there.
+    """
+    scanned = scan_csv(spark, path, **options)
+    plain = scanned.select(*[quoted(c).alias(c.replace(" ", "_")) for c in scanned.columns])
+    write_parquet(plain, target, partition_by)
+    return spark.read.parquet(target)
+
+
 def header_report(spark: SparkSession, path: str, schema: T.StructType = CAMPAIGN_SCHEMA) -> DataFrame:
     """Header names found against the expected ones: (position, expected, found, ok)."""
     found = spark.read.option("header", True).option("escape", '"').csv(path).columns

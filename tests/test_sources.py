@@ -78,3 +78,16 @@ def test_conform_and_required_columns(spark):
     assert out.columns == ["a", "b"] and dict(out.dtypes)["b"] == "bigint"
     with pytest.raises(ValueError, match="missing columns: c"):
         require_columns(df, ["a", "c"])
+
+
+def test_converted_csv_filters_at_the_scan(spark, folder):
+    from pledgekit.plans.campaigns import clean, featurise
+
+    df = tables.convert_csv(spark, folder, fresh_path(spark, "test-convert"))
+    assert "usd_pledged" in df.columns and df.count() == 2
+    rows = df.transform(clean).transform(featurise).select("ID", "launched_year")
+    assert [tuple(r) for r in rows.collect()] == [(1, 2015)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(state, [failed,successful]), IsNotNull(ID), IsNotNull(goal)" in plan
+    schema = plan[plan.index("ReadSchema") :].splitlines()[0]
+    assert "deadline" in schema and "country" not in schema and "usd_goal_real" not in schema
