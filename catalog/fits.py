@@ -116,6 +116,43 @@ def linear_single(spark, sf_dir):
     return rounded(line, "slope", "intercept")
 
 
+STUMP_ROWS = "SELECT CAST(backers >= 150 AS INT) AS many_backers, label, pledged_log FROM parts WHERE split = 'train'"
+
+
+def stump_rows(spark, sf_dir):
+    """Training rows with one binary feature, on which a tree of depth 1 can only split one way."""
+    train = split_featured(spark, sf_dir).filter(F.col("split") == "train")
+    rows = train.select((F.col("backers") >= 150).cast("int").alias("many_backers"), "label", "pledged_log")
+    return stage(encoding.assembler(["many_backers"], "features").transform(rows), "stump-input")
+
+
+@register(
+    "forest_stump",
+    with_campaigns(f"stump AS ({STUMP_ROWS})")
+    + "SELECT many_backers, round(AVG(label), 6) AS prob_success FROM stump GROUP BY many_backers",
+)
+def forest_stump(spark, sf_dir):
+    """A forest of one stump, fitted on every row once, returns the success rate of each side."""
+    rows = stump_rows(spark, sf_dir)
+    forest = models.forest(2).setFeaturesCol("features").setNumTrees(1).setMaxDepth(1)
+    stump = forest.setBootstrap(False).fit(rows)
+    sides = stump.transform(rows).groupBy("many_backers")
+    return rounded(sides.agg(F.avg(positive_probability(F.col("probability"))).alias("prob_success")), "prob_success")
+
+
+@register(
+    "gbt_stump",
+    with_campaigns(f"stump AS ({STUMP_ROWS})")
+    + "SELECT many_backers, round(AVG(pledged_log), 6) AS prediction FROM stump GROUP BY many_backers",
+)
+def gbt_stump(spark, sf_dir):
+    """One boosting round of depth 1 returns the mean target of each side."""
+    rows = stump_rows(spark, sf_dir)
+    stump = models.boosted(2).setMaxIter(1).setMaxDepth(1).fit(rows)
+    sides = stump.transform(rows).groupBy("many_backers")
+    return rounded(sides.agg(F.avg("prediction").alias("prediction")), "prediction")
+
+
 @register("gbt_fit")
 def gbt_fit(spark, sf_dir):
     ready = prepared(spark, sf_dir)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pledgekit.functions.columns import complete, lenient_timestamp, quoted, rows_of
+from pledgekit.functions.columns import complete, quoted, rows_of
+from pledgekit.operators.cleaning import date_columns, has_final_state
 from pledgekit.operators.ranking import approx_quantiles, exact_quantiles
 from pledgekit.runtime import require_columns
 from pledgekit.spec import CampaignSpec
@@ -155,12 +158,9 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def stage_audit(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> DataFrame:
     """Rows before and after each cleaning step, all steps counted in one pass over the raw table."""
-    has_outcome = quoted(spec.state).isin(*spec.final_states)
+    has_outcome = has_final_state(spec)
     filled = complete(df.schema, spec.critical)
-    dated = (
-        lenient_timestamp(quoted(spec.deadline), spec.deadline_format).isNotNull()
-        & lenient_timestamp(quoted(spec.launched), spec.launched_format).isNotNull()
-    )
+    dated = reduce(and_, [c.isNotNull() for c in date_columns(spec).values()])
     stages = [
         ("final_state", has_outcome),
         ("complete", has_outcome & filled),

@@ -8,7 +8,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pledgekit.functions.columns import quoted
 from pledgekit.operators import clustering, models, reports

@@ -71,7 +71,7 @@ def prepare_splits(
     narrow = with_split(featured, key, split).select(*[quoted(c) for c in dict.fromkeys(used)], "split", "fold")
     rows = stage(narrow.sortWithinPartitions(key), "featured", ["split"])
     fitted = fit_preparation(rows.filter(F.col("split") == "train"), features)
-    vectors = ["features"] + (["features_clf"] if features.engagement else [])
+    vectors = list(dict.fromkeys(["features", features.classifier_vector]))
     encoded = prepare(rows, fitted, features).select(
         quoted(key), quoted(features.label), quoted(features.target), quoted(amount), "fold", *vectors, "split"
     )
@@ -125,7 +125,7 @@ def train_and_evaluate(
         forest,
         models.forest_grid(forest, spec),
         models.auc_evaluator(features),
-        train.select(quoted(features.label), "features_clf", "fold"),
+        train.select(quoted(features.label), features.classifier_vector, "fold"),
         spec.parallelism,
         split,
     )
@@ -152,7 +152,7 @@ def train_and_evaluate(
             regression_long(regressed, features.target), target=features.target
         ),
         classifier_importance=models.feature_importance(
-            tuned_forest.best, slot_names(prepared.table, "features_clf")
+            tuned_forest.best, slot_names(prepared.table, features.classifier_vector)
         ),
         regressor_importance=models.feature_importance(
             tuned_boosted.best, slot_names(prepared.table, "features")

@@ -87,6 +87,16 @@ class FeatureSpec:
         """Launch-time columns shared by both tasks."""
         return self.continuous + self.indexed + tuple(c for c, _ in self.temporal)
 
+    @property
+    def classifier_vector(self) -> str:
+        """The classifier adds the engagement columns, if there are any."""
+        return "features_clf" if self.engagement else "features"
+
+    def __post_init__(self) -> None:
+        leaking = set(self.inputs + self.engagement) & set(self.withheld)
+        if leaking:
+            raise ValueError(f"withheld columns used as features: {', '.join(sorted(leaking))}")
+
     def groups(self) -> list[tuple[str, str]]:
         return (
             [(c, "continuous") for c in self.continuous]

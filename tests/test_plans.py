@@ -13,7 +13,7 @@ from pledgekit.plans.export import export, model_changes, result_tables, run_sum
 from pledgekit.plans.segmentation import segment
 from pledgekit.plans.supervised import BOOSTED, FOREST, LINEAR, LOGISTIC, prepare_splits, train_and_evaluate
 from pledgekit.runtime import fresh_path
-from pledgekit.spec import ClusterSpec, ModelSpec
+from pledgekit.spec import ClusterSpec, FeatureSpec, ModelSpec
 
 SPEC = ModelSpec(max_iter=20, forest_trees=(3, 5), boost_rounds=(2,), boost_depths=(2, 3))
 
@@ -81,6 +81,19 @@ def test_seeded_fits_repeat(rows):
     assert importances() == importances()
 
 
+def test_engagement_can_be_switched_off(rows):
+    features = FeatureSpec(engagement=())
+    ready = prepare_splits(rows, features)
+    assert "features_clf" not in ready.table.columns
+    model = models.logistic(features, SPEC).fit(ready.train)
+    assert model.numFeatures == ready.table.schema["features"].metadata["ml_attr"]["num_attrs"]
+
+
+def test_withheld_columns_are_refused():
+    with pytest.raises(ValueError, match="pledged"):
+        FeatureSpec(continuous=("goal", "pledged"))
+
+
 def test_segments(segments, rows):
     assert sum(r["size"] for r in segments.sizes.collect()) == rows.count()
     assert segments.centers.count() == 4 and segments.elbow.count() == 3
