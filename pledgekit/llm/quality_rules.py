@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # What separates words, which characters count as symbols, and how often n-grams may repeat.
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
+BULLETS = ("-", "*", "•")
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -66,18 +67,16 @@ COUNTS = (
 ).split()
 
 
-def _repeat_positions(grams: Column) -> Column:
-    """Positions, ascending, of the three-word windows whose words stand in another window too."""
-    ordered = F.sort_array(grams)
-    around = F.arrays_zip(
-        ordered.alias("own"),
-        F.concat(F.array(F.lit(None).cast("struct<h:bigint,p:int>")), ordered).alias("before"),
-        F.slice(ordered, F.lit(2), F.size(ordered)).alias("after"),
-    )
-    again = F.filter(
-        around, lambda x: (x["own"]["h"] == x["before"]["h"]) | (x["own"]["h"] == x["after"]["h"])
-    )
-    return F.array_sort(F.transform(again, lambda x: x["own"]["p"]))
+def _repeat_positions(ordered: str) -> Column:
+    """Positions, ascending, of the windows whose words stand in another window too.
+
+    ``ordered`` names an array of (hash, position) sorted by hash, so equal windows are neighbours.
+    """
+
+    def again(x: Column, i: Column) -> Column:
+        return (x["h"] == F.get(ordered, i + 1)["h"]) | (x["h"] == F.get(ordered, i - 1)["h"])
+
+    return F.array_sort(F.transform(F.filter(ordered, again), lambda x: x["p"]))
 
 
 def _covered(positions: Column) -> Column:
@@ -107,25 +106,18 @@ def count_rules(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc
         F.filter(F.split(body, "\n", -1), lambda line: line.rlike(f"[^{SPACE}]")).alias("_lines"),
     )
     n = F.size("_words")
-    grams = words.withColumn(
-        "_grams",
-        F.when(
-            n >= 3,
-            F.transform(
-                F.sequence(F.lit(1), n - 2),
-                lambda i: F.xxhash64(
-                    F.element_at("_words", i), F.element_at("_words", i + 1), F.element_at("_words", i + 2)
-                ),
-            ),
-        ).otherwise(F.array().cast("array<bigint>")),
+    hashes = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
+    none = F.array().cast("array<bigint>")
+    # One projection per step: what a later step names several times is then computed once.
+    grams = words.withColumn("_grams", F.when(n >= 3, F.slice(hashes, F.lit(1), n - 2)).otherwise(none))
+    placed = F.transform("_grams", lambda h, i: F.struct(h.alias("h"), i.alias("p")))
+    ordered = grams.withColumn(
+        "_ordered", F.when(F.size(F.array_distinct("_grams")) < F.size("_grams"), F.sort_array(placed))
     )
-    placed = F.transform(F.col("_grams"), lambda h, i: F.struct(h.alias("h"), (i + 1).alias("p")))
-    repeats = F.when(
-        F.size(F.array_distinct("_grams")) < F.size("_grams"), _covered(_repeat_positions(placed))
-    ).otherwise(0)
+    repeats = F.when(F.col("_ordered").isNotNull(), _covered(_repeat_positions("_ordered"))).otherwise(0)
 
-    def lines_with(pattern: str) -> Column:
-        return F.size(F.filter("_lines", lambda line: line.rlike(pattern)))
+    def lines_that(test) -> Column:
+        return F.size(F.filter("_lines", test))
 
     counted = {
         "n_words": n,
@@ -135,11 +127,11 @@ def count_rules(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc
         "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))),
         "n_lines": F.size("_lines"),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_bullet_lines": lines_with(r"^[\x20\x09]*[-*•]"),
-        "n_open_lines": lines_with(r"(\.\.\.|…)[\x20\x09\x0D]*$"),
+        "n_bullet_lines": lines_that(lambda line: F.substring(F.ltrim(line), 1, 1).isin(*BULLETS)),
+        "n_open_lines": lines_that(lambda line: F.rtrim(line).endswith("...") | F.rtrim(line).endswith("…")),
         "n_repeat_words": repeats,
     }
-    return grams.select(*kept, *[counted[c].cast("bigint").alias(c) for c in COUNTS])
+    return ordered.select(*kept, *[counted[c].cast("bigint").alias(c) for c in COUNTS])
 
 
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -213,8 +205,8 @@ counted AS (
          CAST(len(list_filter(words, lambda w: lower(w) IN ({_sql_list(STOP_WORDS)}))) AS BIGINT) AS n_stop_words,
          CAST(len(lines) AS BIGINT) AS n_lines,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-         CAST(len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09]*[-*•]'))) AS BIGINT) AS n_bullet_lines,
-         CAST(len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09\x0D]*$'))) AS BIGINT) AS n_open_lines,
+         CAST(len(list_filter(lines, lambda l: substr(ltrim(l, ' '), 1, 1) IN ({_sql_list(BULLETS)}))) AS BIGINT) AS n_bullet_lines,
+         CAST(len(list_filter(lines, lambda l: suffix(rtrim(l, ' '), '...') OR suffix(rtrim(l, ' '), '…'))) AS BIGINT) AS n_open_lines,
          CAST(COALESCE(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN covered ON d.doc_id = covered.doc_id),
 based AS (
