@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgekit.llm import mixing, quality_rules
+from pledgekit.llm import mixing, packing, quality_rules, secret_scan, url_filter
+
+TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op3_quality_rules": quality_rules.SQL, "op4_mixing": mixing.SQL}
@@ -22,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_digest(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @register
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
@@ -30,3 +38,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages)
+
+
+@register
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digest(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
