@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
-from pledgekit.llm import mixing, packing, quality_rules, secret_scan, url_filter
+from pledgekit.llm import language, mixing, packing, quality_model, quality_rules, secret_scan, url_filter
 
 TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
@@ -40,6 +41,22 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    apart = language.held_out(F.col("doc_id"), 4, 2)
+    model = language.learn_languages(docs.filter(~apart))
+    return language.identify_languages(docs, model).select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    apart = language.held_out(F.col("doc_id"), 5, 0)
+    model = quality_model.learn_quality(docs.filter(~apart), labels.filter(~apart))
+    return quality_model.score_quality(docs, model).select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
 @register
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
