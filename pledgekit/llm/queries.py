@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from pledgekit.llm import language, mixing, packing, quality_model, quality_rules, secret_scan, url_filter
+from pledgekit.llm import language, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, url_filter
 
 TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
@@ -31,6 +31,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@register
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
