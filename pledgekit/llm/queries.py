@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from pledgekit.llm import language, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, url_filter
+from pledgekit.llm import language, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, topk, url_filter
 
 TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op3_quality_rules": quality_rules.SQL, "op4_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op3_quality_rules": quality_rules.SQL, "op4_mixing": mixing.SQL, "op8_exact_top_k": topk.SQL}
 
 
 def register(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -68,6 +68,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages)
 
 
+@register
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @register
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
