@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from pledgekit.llm import language, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, topk, url_filter
+from pledgekit.llm import language, mixing, near_dedup, packing, quality_model, quality_rules, repeats, secret_scan, topk, url_filter
 
 TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
@@ -76,3 +76,8 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
+
+
+@register
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, sf_dir, "documents"))
