@@ -192,3 +192,19 @@ def score_quality(
     chosen = {f"k{i}": c for i, c in enumerate(kept)} | {"text": text}
     scored = map_texts(df, chosen, f"{fields}, score double, predicted int", work)
     return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)], "score", "predicted")
+
+
+def filter_quality(df: DataFrame, model: QualityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df`` whose text scores ``threshold`` or more, all columns as they are; cases as in ``score_quality``."""
+    shared = df.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
+    names = {f"c{i}": c for i, c in enumerate(df.columns)}
+    own = f"c{df.columns.index(text)}"
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        m = QualityModel(*shared.value)
+        margin = margins(indicators(*raw(part.column(part.schema.get_field_index(own)))), m.weights, m.intercept)
+        score = 1 / (1 + np.exp(-np.clip(m.slope * margin + m.offset, -30, 30)))
+        return part.filter(pa.array(score >= threshold))
+
+    schema = ", ".join(f"{n} {field_type(df, c)}" for n, c in names.items())
+    return map_texts(df, names, schema, work, own).toDF(*df.columns)

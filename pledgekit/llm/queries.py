@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pledgekit.llm import language, mixing, near_dedup, packing, quality_model,
 
 TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"op3_quality_rules": quality_rules.SQL, "op4_mixing": mixing.SQL, "op8_exact_top_k": topk.SQL}
 
 

@@ -153,12 +153,15 @@ def redact_secrets(df: DataFrame, text: str = "text", mark: str = "[secret]") ->
             done = b
         return "".join([*out, value[done:]])
 
+    names = {f"c{i}": c for i, c in enumerate(df.columns)}
+    at = df.columns.index(text)
+
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        at = part.schema.get_field_index(text)
         cleaned = pa.array([clean(t) for t in part.column(at).to_pylist()], part.schema.field(at).type)
         return part.set_column(at, part.schema.field(at), cleaned)
 
-    return map_texts(df, {c: c for c in df.columns}, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), work, text)
+    schema = ", ".join(f"{n} {field_type(df, c)}" for n, c in names.items())
+    return map_texts(df, names, schema, work, f"c{at}").toDF(*df.columns)
 
 
 def _joined(spans: Column) -> Column:
