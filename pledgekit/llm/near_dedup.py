@@ -234,8 +234,8 @@ def near_duplicates(
        by block inside tasks, again on whole sets; a block returns a spanning forest, so links that
        bypass the star are found without listing pairs. Components follow from both kinds of edges.
 
-    A text without words (null, empty, blank) has no shingles and is linked with nothing. Rows with one key
-    count as one document. A null key is linked with nothing and kept, with a null component.
+    A text without words (null, empty, blank) has no shingles and is linked with nothing. Repeated rows
+    count as one document, and each gets its result. A null key is linked with nothing and kept, with a null component.
     """
     kind = field_type(df, key)
     prints = stage(shingle_prints(df, text, key, bands, rows), "near-prints")
@@ -276,7 +276,7 @@ def near_duplicates(
         .join(classes, "print", "left")
         .join(labels, F.col("rep") == F.col("node"), "left")
     )
-    component = F.coalesce("label", "rep", "key").cast(kind)
+    component = F.when(F.col("key").isNotNull(), F.coalesce("label", "rep", "key")).cast(kind)
     return final.select(
         F.col("key").alias(key),
         "n_shingles",

@@ -57,7 +57,7 @@ def entropy_runs(run: str, window: int, bits: float) -> list[tuple[int, int]]:
     Moving the window on changes two counts; the entropy is log2(window) - sum(c log2 c) / window, so each step
     updates two terms.
     """
-    term = [0.0, *[c * math.log2(c) for c in range(1, window + 1)]]
+    term = [0.0, *[c * math.log2(c) for c in range(1, window + 2)]]
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     limit = (math.log2(window) - bits) * window + 1e-9

@@ -1,0 +1,493 @@
+"""Every operator against brute force on documents with awkward rows, and the edge cases its docstring names."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from pledgekit.llm import (
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    repeats,
+    secret_scan,
+    topk,
+    url_filter,
+)
+from pledgekit.llm.components import components
+from pledgekit.runtime import stage
+
+TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, bucket int, score string, size int"
+WORDS = re.compile("[^\x20\x09-\x0d]+")
+
+
+def words(text):
+    return WORDS.findall(text or "")
+
+
+def prose(r, n):
+    return " ".join("".join(r.choice("abcdeé") for _ in range(r.randint(1, 7))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Nulls in every column, empty and blank texts, one long text, near and exact copies, shared passages."""
+    r = random.Random(7)
+    out = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", None, None), (3, " \n\t ", None, "a", 3)]
+    base, passage = [prose(r, 60) for _ in range(12)], prose(r, 110)
+    for i, text in enumerate(base):
+        out.append((10 + i, text, "en", "abc"[i % 3], len(text)))
+        out.append((30 + i, text, "en", "abc"[i % 3], len(text)))  # exact copy
+        cut = text.split(" ")
+        for n in (1, 3, 8):
+            changed = cut.copy()
+            changed[r.randrange(len(cut))] = "changed"
+            out.append((100 * n + 50 + i, " ".join(changed[: len(cut) - n]), "de", "z", None))
+    for i in range(12):
+        out.append((1000 + i, prose(r, 20 + 5 * i) + " " + passage + " " + prose(r, 10 * i), None, "src", 1))
+    out.append((1100, "x", "fr", "é", 1))
+    out.append((1101, "one two three", "fr", "é", 1))
+    out.append((1102, "One TWO three", "fr", "b", 1))
+    out.append((1103, "ab " * 900, "fr", "b", 1))
+    out.append((1104, prose(r, 20_000), "fr", "a", 1))
+    out.append((None, base[0], "en", "a", 1))
+    out.append(out[5])  # a repeated row
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    extra = [(*x, "clash", 1, "clash", 2) for x in rows]
+    return stage(spark.createDataFrame(extra, SCHEMA), "test-docs")
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# Packing
+
+
+def test_encoder_agrees_with_the_tokenizer():
+    encoder = packing.WordEncoder(TOKENIZER)
+    odd = ["ΣΑΣ Σ’s don't", "İstanbul ...wow!!", "a\u00a0b\x1cc <|endoftext|>x", "é Å x 12 3４", "", "  \t\n x", "ß ẞ µ ÿ",
+           "we're I'LL 'S", "日本語 テキスト。", "x.", "..", "a,b,", "ﬁ", "\ufeffa", "n't. 've, 'd: x'd. x'm,", None]
+    for text, ids in zip(odd, encoder.encode(odd), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_packing_keeps_every_token_once(docs, rows):
+    pieces = packing.token_pieces(docs, TOKENIZER)
+    packed = packing.pack(pieces.drop("ids").withColumn("crc", F.lit(0)), group_pieces=20).collect()
+    by_doc = collections.defaultdict(list)
+    for p in packed:
+        by_doc[p.doc_id].append(p)
+    encoder = packing.WordEncoder(TOKENIZER).tokenizer
+    want = collections.Counter()
+    for key, text, *_ in rows:
+        n = len(encoder.encode(text or "", add_special_tokens=False).ids) + 1
+        for k in range(-(-n // 2048)):
+            want[key, k, 2048 * k, min(2048, n - 2048 * k)] += 1
+    assert collections.Counter((p.doc_id, p.piece, p.start, p.length) for p in packed) == want
+    bins = collections.defaultdict(list)
+    for p in packed:
+        bins[p.sequence_id].append((p.offset, p.length))
+    for own in bins.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(bins) <= packing.lower_bound(np.array([p.length for p in packed]), 2048) + 4
+
+
+def test_sequences_hold_the_ids(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "d e")], "doc_id bigint, text string")
+    pieces = packing.token_pieces(df, TOKENIZER)
+    whole = packing.sequences(packing.pack(pieces)).collect()
+    ids = [np.frombuffer(r.ids, "<u4").tolist() for r in whole]
+    encode = packing.WordEncoder(TOKENIZER).tokenizer.encode
+    assert ids == [encode("a b c", add_special_tokens=False).ids + [0] + encode("d e", add_special_tokens=False).ids + [0]]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_bound_never_exceeds_the_best_packing(seed):
+    r = np.random.default_rng(seed)
+    full = [r.multinomial(12, np.ones(4) / 4) for _ in range(6)]  # cut from full bins, so 6 bins suffice
+    lengths = np.array([x for b in full for x in b if x])
+    assert packing.lower_bound(lengths, 12) == 6
+    where, offset, bins = packing.best_fit_decreasing(lengths, 12)
+    assert bins >= 6 and np.bincount(where, weights=lengths).max() <= 12
+    big = r.integers(7, 12, 9)
+    assert packing.lower_bound(big, 12) == 9 == packing.best_fit_decreasing(big, 12)[2]
+
+
+# Near duplicates
+
+
+def shingles(text):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+
+def brute_components(rows):
+    sets, parent = {}, {}
+    for key, text, *_ in rows:
+        if key is not None:
+            sets[key], parent[key] = shingles(text), key
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b])
+            if a < b and common and 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {k: (len(s), find(k)) for k, s in sets.items()}
+
+
+@pytest.mark.parametrize("texts", [1_500, 3])
+def test_near_duplicates(docs, rows, texts, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", texts)
+    found = near_dedup.near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    want = brute_components(rows)
+    for x in found:
+        if x.doc_id is None:
+            assert x.kept and x.component_id is None
+        else:
+            assert (x.n_shingles, x.component_id) == want[x.doc_id] and x.kept == (x.doc_id == x.component_id)
+    assert any(x.component_id not in (None, x.doc_id) for x in found)
+
+
+def test_blocks_return_a_spanning_forest():
+    r = random.Random(3)
+    sets = [np.unique(np.array([r.randrange(9) for _ in range(r.randint(1, 9))], np.uint64)) for _ in range(60)]
+    links = near_dedup.block_links(sets)
+    label = list(range(60))
+    for a, b in links:
+        old, new = label[b], label[a]
+        label = [new if x == old else x for x in label]
+    full = list(range(60))
+    for a in range(60):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if near_dedup.linked(common, len(sets[a]), len(sets[b])):
+                old, new = full[a], full[b]
+                full = [new if x == old else x for x in full]
+    assert len(links) == 60 - len(set(full)) and len(set(label)) == len(set(full))
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (None, 3)], "a bigint, b bigint")
+    got = {r.node: r.label for r in components(edges).collect()}
+    assert got == {**dict.fromkeys(range(61), 0), 100: 100}
+
+
+def test_signature_of_few_shingles_is_dense():
+    one = near_dedup.signature(np.array([5], np.uint64), 384)
+    assert len(set(one.tolist())) == 1
+    assert near_dedup.band_hashes(np.array([5, 6], np.uint64)).shape == (64,)
+
+
+# Quality rules
+
+
+def test_rule_counts(docs, rows):
+    found = sorted(quality_rules.quality_rules(docs).collect(), key=str)
+    want = []
+    for key, text, *_ in rows:
+        w, text = words(text), text or ""
+        lines = [x for x in text.split("\n") if words(x)]
+        grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        count = collections.Counter(grams)
+        covered = {i + k for i, g in enumerate(grams) if count[g] > 1 for k in range(3)}
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        want.append((key, len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed))
+    got = [(x.doc_id, x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words, x.base_failed) for x in found]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert not any(x.kept and x.base_failed for x in found)
+    assert any(x.base_failed for x in found if x.doc_id == 1103)
+
+
+def test_rules_use_no_python(docs):
+    for df in (quality_rules.quality_rules(docs), mixing.mixed_sizes(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Mixing
+
+
+def brute_targets(sizes, weights=(5, 2, 1), epochs=2, percent=150):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    caps = {s: epochs * sizes[s] for s in order}
+    left, free, target = percent / 100 * sum(sizes.values()), set(order), {}
+    while free:
+        share = left / sum(weight[s] for s in free)
+        over = {s for s in free if share * weight[s] >= caps[s]}
+        if not over:
+            return target | {s: share * weight[s] for s in free}
+        for s in over:
+            target[s] = caps[s]
+            left -= caps[s]
+        free -= over
+    return target
+
+
+def test_mixing(docs, rows):
+    found = mixing.mixed_sizes(docs).collect()
+    again = mixing.mixed_sizes(docs.repartition(3)).collect()
+    assert sorted(found, key=str) == sorted(again, key=str)
+    source = {k: s for k, _, _, s, _ in rows}
+    sizes = collections.Counter()
+    for _, text, _, s, _ in rows:
+        sizes[s] += len(words(text))
+    targets = brute_targets(sizes)
+    taken, largest = collections.Counter(), collections.Counter()
+    for x in (x for x in found if x.doc_id is not None):
+        s = source[x.doc_id]
+        assert x.source_size == sizes[s] and x.target == pytest.approx(targets[s]) and x.taken <= 2 * x.size
+    for x, s in ((x, s) for x in found for s in sizes if x.source_size == sizes[s] and x.target == pytest.approx(targets[s])):
+        taken[s] += x.taken
+        largest[s] = max(largest[s], x.size)
+    unique = [s for s in sizes if list(sizes.values()).count(sizes[s]) == 1]
+    assert all(abs(taken[s] - targets[s]) <= largest[s] for s in unique)
+
+
+def test_repeated_rows_of_the_mix(docs):
+    mixed = mixing.mix(docs, mixing.word_count(F.col("text")), carry=["text"])
+    total = mixed.agg(F.sum("repeats")).first()[0]
+    assert mixing.repeat_rows(mixed, ["doc_id", "text"]).count() == total
+
+
+# Language
+
+
+def test_language(spark):
+    r = random.Random(1)
+    styles = {"en": "the of and tion er", "fr": "le la çue aux é", "de": "der und ung ß ch"}
+    data = []
+    for i in range(240):
+        lang = list(styles)[i % 3]
+        parts = styles[lang].split()
+        text = " ".join("".join(r.choice(parts) for _ in range(r.randint(1, 3))) for _ in range(30))
+        data.append((i, text, lang))
+    df = spark.createDataFrame(data + [(900, None, "en"), (901, "123 !?", None), (902, "", None), (None, "the and of", None)], "doc_id bigint, text string, lang string")
+    apart = language.held_out(F.col("doc_id"), 4, 2)
+    model = language.learn_languages(df.filter(~apart))
+    got = {x.doc_id: x for x in language.identify_languages(df, model).collect()}
+    held = [i for i, *_ in data if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum(got[i].lang_pred == list(styles)[i % 3] for i in held) >= 0.97 * len(held)
+    assert all((got[i].lang_pred, got[i].score) == ("und", 0.0) for i in (900, 901, 902))
+    assert got[None].lang_pred == "en" and all(0 <= x.score <= 1 for x in got.values())
+    none = language.learn_languages(df.limit(0))
+    assert {x.lang_pred for x in language.identify_languages(df, none).collect()} == {"und"}
+
+
+def test_backoff_goes_from_long_to_short():
+    table = {"<ab": 0, "zz": 1, "q": 2}
+    model = language.LanguageModel(["x", "y"], {}, np.zeros((0, 2)), table, np.array([[-1.0, -9], [-9, -1], [-2, -3]]))
+    judge = language.Identifier(model)
+    assert judge.backoff("abc").tolist() == [-1, -9] and judge.backoff("zzz").tolist() == [-9, -1]
+    assert judge.backoff("q").tolist() == [-2, -3] and judge.backoff("é").tolist() == [0, 0]
+
+
+# Quality classifier
+
+
+def test_quality_model(spark):
+    r = random.Random(5)
+    data, marks = [], []
+    for i in range(300):
+        bad = i % 4 == 0
+        data.append((i, prose(r, 40).replace(" ", "### ") if bad else prose(r, 40)))
+        marks.append((i, int(not bad)))
+    df = spark.createDataFrame(data + [(900, None), (901, ""), (None, "x y")], "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks + [(None, 1), (5, None)], "doc_id bigint, quality int")
+    apart = language.held_out(F.col("doc_id"), 5, 0)
+    model = quality_model.learn_quality(df.filter(~apart), labels.filter(~apart))
+    got = {x.doc_id: x for x in quality_model.score_quality(df, model).collect()}
+    held = [i for i, _ in data if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(got[i].predicted == dict(marks)[i] for i in held)
+    assert got[900].score == got[901].score and all(0 <= x.score <= 1 for x in got.values())
+    assert quality_model.filter_quality(df, model).count() == sum(x.predicted for x in got.values())
+    blank = quality_model.learn_quality(df, labels.limit(0))
+    assert {x.score for x in quality_model.score_quality(df, blank).collect()} == {0.5}
+
+
+# URLs
+
+
+URLS = [
+    ("http://A.example.ORG/es/1", "a.example.org", "/es/1", "example.org/es/", "block"),
+    ("https://example.org/en/17?x=1", "example.org", "/en/17", "example.org/en/1", "block"),
+    ("https://example.org/en/27", "example.org", "/en/27", "org/", "allow"),
+    ("https://example.org", "example.org", "", None, None),
+    ("x://b.com/fr/#a?b", "b.com", "/fr/", "com/fr/", "allow"),
+    ("x://b.com/de/y://z", "b.com", "/de/y://z", "com/de/", "block"),
+    ("x://bcom/de/", "bcom", "/de/", None, None),
+    ("no scheme", "", "", None, None),
+    ("", "", "", None, None),
+    (None, "", "", None, None),
+    ("://org/", "org", "/", "org/", "allow"),
+    ("a://h\n.com?/fr/", "h\n.com", "", None, None),
+]
+
+
+def test_urls(spark):
+    df = spark.createDataFrame([(i, u[0], "h", "r") for i, u in enumerate(URLS * 8)], "page_id bigint, url string, host string, rule string")
+    got = url_filter.filter_urls(df).collect()
+    assert len(got) == len(URLS) * 8
+    for x in got:
+        _, host, path, rule, verdict = URLS[x.page_id % len(URLS)]
+        assert (x.host, x.path, x.rule) == (host, path, rule)
+        assert x.verdict == verdict if verdict else x.verdict in ("allow", "block")
+    alone = url_filter.filter_urls(df.filter(F.col("url").isNull())).collect()
+    assert {(x.verdict, x.blocked_score) for x in alone} == {("allow", 0.0)}
+
+
+def test_trees_learn_from_labelled_urls(spark):
+    rows = [(i, f"http://h{i}.com/{'de' if i % 2 else 'fr'}/{'9' * (20 * (i % 2))}a") for i in range(200)]
+    rows += [(1000 + i, f"http://h{i}.net/xx/{'9' * (20 * (i % 2))}a") for i in range(20)]
+    got = {x.page_id: x.verdict for x in url_filter.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
+    assert all(got[1000 + i] == ("block" if i % 2 else "allow") for i in range(20))
+
+
+# Top-k
+
+
+def test_top_k(spark):
+    r = np.random.default_rng(2)
+    data = [(i, [float(x) for x in r.normal(size=4).round(2)], "x") for i in range(120)]
+    data += [(i, data[7][1], "x") for i in range(200, 230)]  # ties
+    data += [(300, None, "x"), (301, [1.0, None, 0.0, 0.0], "x"), (302, [float("nan")] * 4, "x"), (303, [float("inf")] * 4, "x"), (304, [], "x")]
+    data += [(None, [1.0] * 4, "x"), (350, [1.0, 2.0], "x"), (400, [3.0, 1.0], "x")]
+    df = spark.createDataFrame(data, "vec_id bigint, embedding array<double>, score string")
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0, row_block=40, query_block=2).collect()
+    good = {i: np.floor(256 * np.array(v)).astype(int) for i, v, _ in data if i is not None and v and all(x is not None and np.isfinite(x) for x in v)}
+    want = set()
+    for q in (x for x in good if x % 50 == 0):
+        scores = sorted((-int(good[q] @ v), i) for i, v in good.items() if i != q and len(v) == len(good[q]))
+        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])}
+    assert {(x.query_id, x.rank, x.vec_id, x.score) for x in got} == want and len(got) == len(want)
+
+
+def test_top_k_of_large_components(spark):
+    data = [(i, [float(2**20 + i), float(3 * i)]) for i in range(60)]
+    got = topk.top_k(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 0, 3).collect()
+    ints = {i: [256 * int(x) for x in v] for i, v in data}
+    scores = sorted((-sum(a * b for a, b in zip(ints[0], ints[i], strict=True)), i) for i in range(1, 60))
+    assert sorted((x.rank, x.vec_id, x.score) for x in got) == [(k + 1, i, -s) for k, (s, i) in enumerate(scores[:3])]
+
+
+# Secrets
+
+
+def test_base_spans():
+    text = 'é Password = "abcdefghijkl" token: secret: 0123456789abcdef AKIAABCDEFGHIJKLMN AKIA123 api_key:short deadbeefdeadbee'
+    want = [("assign", 2, 26), ("hex", 43, 59), ("access", 60, 78)]
+    assert [(k, text[a:b]) for k, a, b in secret_scan.base_spans(text)] == [(k, text[a:b]) for k, a, b in sorted(want, key=lambda s: ("hex", "access", "assign").index(s[0]))]
+
+
+def test_entropy_runs_equal_windows_computed_anew():
+    r = random.Random(4)
+    run = "".join(r.choice("abAB01xyzQRS9") for _ in range(80)) + "a" * 40
+    for window, bits in ((16, 3.0), (24, 3.2)):
+        def entropy(s):
+            return -sum(c / len(s) * np.log2(c / len(s)) for c in collections.Counter(s).values())
+
+        covered = {p for i in range(len(run) - window + 1) if entropy(run[i : i + window]) >= bits for p in range(i, i + window)}
+        got = secret_scan.entropy_runs(run, window, bits)
+        assert {p for a, b in got for p in range(a, b)} == covered
+        assert all(x[1] < y[0] for x, y in zip(got, got[1:]))
+
+
+def test_random_strings_are_found_and_allowed_ones_left():
+    key = "q7ZrT0xLw9Kd3VbN5mYc8HsP2fJg"
+    found = secret_scan.find_secrets(f"say {key} or http://x.y/{key} or mail@{key}.com")
+    assert [(k, a) for k, a, _ in found] == [("base64_entropy", 4)]
+    assert secret_scan.find_secrets("supercalifragilisticexpialidocious " * 3) == []
+
+
+def test_secret_table(docs, rows):
+    got = secret_scan.span_digest(secret_scan.secret_spans(docs)).collect()
+    assert len(got) == len(rows)
+    assert all(x.base_sha256 == hashlib.sha256(b"").hexdigest() and x.spans == "" for x in got if x.doc_id in (1, 2, 3))
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame([(1, "a token = 0123456789abcdef0 b", "k"), (2, None, "k"), (3, "", None)], "doc_id bigint, text string, spans string")
+    got = {x.doc_id: x for x in secret_scan.redact_secrets(df).collect()}
+    assert got[1].text == "a [secret] b" and got[2].text is None and got[3].text == "" and got[1].spans == "k"
+
+
+# Repeats
+
+
+def brute_repeats(texts, length):
+    counts = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        covered = np.zeros(len(t), bool)
+        for i in range(len(t) - length + 1):
+            if counts[t[i : i + length]] > 1:
+                covered[i : i + length] = True
+        kept = np.frombuffer(t, np.uint8)[~covered].tobytes()
+        runs = int(np.count_nonzero(np.diff(covered, prepend=False) & covered)) if len(t) else 0
+        out.append((len(t), int(covered.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("passages", [1_000, 2])
+def test_repeats(docs, rows, passages, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK_PASSAGES", passages)
+    got = [(x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in repeats.repeat_digest(docs).collect()]
+    want = brute_repeats([(t or "").encode() for _, t, *_ in rows], 400)
+    assert sorted(got, key=str) == sorted([(k[0], *w) for k, w in zip(rows, want, strict=True)], key=str)
+    assert any(0 < x[2] < x[1] for x in got)
+
+
+def test_kept_bytes(docs, rows):
+    report, kept = repeats.remove_repeats(docs)
+    joined = report.join(kept.select("digest", "kept"), "digest").select("kept_sha256", F.sha2("kept", 256).alias("own"), "n_bytes", F.col("n_removed").alias("gone"), F.length("kept").alias("left")).collect()
+    assert joined and all(x.kept_sha256 == x.own and x.n_bytes == x.gone + x.left for x in joined)
+
+
+# Empty tables
+
+
+def test_empty_tables(spark, empty):
+    pages = spark.createDataFrame([], "page_id bigint, url string")
+    vectors = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    model = quality_model.learn_quality(empty, labels)
+    for df in (
+        packing.pack_digest(empty, TOKENIZER),
+        near_dedup.near_duplicates(empty),
+        quality_rules.quality_rules(empty),
+        mixing.mixed_sizes(empty),
+        language.identify_languages(empty, language.learn_languages(empty)),
+        quality_model.score_quality(empty, model),
+        url_filter.filter_urls(pages),
+        topk.top_k(vectors, F.col("vec_id") % 50 == 0),
+        secret_scan.span_digest(secret_scan.secret_spans(empty)),
+        repeats.repeat_digest(empty),
+    ):
+        assert df.collect() == []
