@@ -266,7 +266,7 @@ def near_duplicates(
         .groupBy("who", "n")
         .agg(F.min("bucket").alias("bucket"))
     )
-    groups = members.join(open_buckets.select("bucket"), "bucket").select("bucket", "key", "n_shingles")
+    groups = members.join(open_buckets.select("bucket"), "bucket", "left_semi").select("bucket", "key", "n_shingles")
     more = stage(_resolve(groups, sets, similarity), "near-more")
     if not more.isEmpty():
         labels = components(ends.union(more.select(F.col("center").alias("a"), F.col("key").alias("b"))))
