@@ -1,6 +1,7 @@
-"""Model fits, tuning and scoring. SQL cannot repeat these, except in closed-form cases.
+"""Model fits, tuning and scoring, with the published parameters and grids.
 
-Grids are smaller than the library's defaults, so that a check stays short; the rows are all there.
+SQL cannot repeat a fit. Closed-form cases have a twin of their values; per-row results have a twin of their keys and of
+invariants that are computed from the model's output.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ from pyspark.sql import types as T
 
 from catalog.fixture import campaigns, featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
-from pledgekit.functions.columns import positive_probability
+from pledgekit.functions.columns import positive_probability, square, total
 from pledgekit.operators import clustering, encoding, evaluation, models, reports
 from pledgekit.plans.campaigns import with_split
 from pledgekit.plans.export import run_summary
-from pledgekit.plans.segmentation import fit_segments, segment
+from pledgekit.plans.segmentation import segment
 from pledgekit.plans.supervised import (
     BOOSTED,
     FOREST,
@@ -28,10 +29,10 @@ from pledgekit.plans.supervised import (
     regression_long,
     train_and_evaluate,
 )
-from pledgekit.runtime import stage
+from pledgekit.runtime import persisted, small, stage
 from pledgekit.spec import ClusterSpec, ModelSpec
 
-SMALL = ModelSpec(forest_trees=(5, 10), forest_depths=(2,), boost_rounds=(3,), boost_depths=(2, 3))
+PUBLISHED = ModelSpec()
 CLUSTERS = ClusterSpec()
 
 
@@ -40,9 +41,9 @@ def prepared(spark, sf_dir):
 
 
 def vectors(spark, sf_dir):
-    """Scaled vectors over a staged table, so that no fit repeats the joins."""
+    """Scaled vectors, staged, so that no fit repeats the joins or the scaling."""
     rows = stage(featured(spark, sf_dir).select("ID", *CLUSTERS.features), "cluster-input")
-    return encoding.cluster_preparation().fit(rows).transform(rows).select("ID", "features")
+    return stage(encoding.cluster_preparation().fit(rows).transform(rows).select("ID", "features"), "cluster-vectors")
 
 
 def _coefficients(ready, vector: str, model):
@@ -55,12 +56,13 @@ def _coefficients(ready, vector: str, model):
     )
 
 
-def _small_forest(arity: int):
-    return models.forest(arity, spec=SMALL).setNumTrees(10).setMaxDepth(2)
+def largest_forest(levels):
+    """The largest forest of the published grid."""
+    return models.forest(levels).setNumTrees(max(PUBLISHED.forest_trees)).setMaxDepth(max(PUBLISHED.forest_depths))
 
 
-def _small_boosted(arity: int):
-    return models.boosted(arity, spec=SMALL).setMaxIter(3).setMaxDepth(3)
+def largest_boosted(levels):
+    return models.boosted(levels).setMaxIter(max(PUBLISHED.boost_rounds)).setMaxDepth(max(PUBLISHED.boost_depths))
 
 
 @register("logistic_fit")
@@ -90,7 +92,7 @@ def logistic_levels(spark, sf_dir):
 @register("forest_fit")
 def forest_fit(spark, sf_dir):
     ready = prepared(spark, sf_dir)
-    model = _small_forest(ready.arity).fit(ready.train)
+    model = largest_forest(ready.levels).fit(ready.train)
     return models.feature_importance(model, encoding.slot_names(ready.table, "features_clf"))
 
 
@@ -134,7 +136,7 @@ def stump_rows(spark, sf_dir):
 def forest_stump(spark, sf_dir):
     """A forest of one stump, fitted on every row once, returns the success rate of each side."""
     rows = stump_rows(spark, sf_dir)
-    forest = models.forest(2).setFeaturesCol("features").setNumTrees(1).setMaxDepth(1)
+    forest = models.forest({}).setFeaturesCol("features").setNumTrees(1).setMaxDepth(1)
     stump = forest.setBootstrap(False).fit(rows)
     sides = stump.transform(rows).groupBy("many_backers")
     return rounded(sides.agg(F.avg(positive_probability(F.col("probability"))).alias("prob_success")), "prob_success")
@@ -148,7 +150,7 @@ def forest_stump(spark, sf_dir):
 def gbt_stump(spark, sf_dir):
     """One boosting round of depth 1 returns the mean target of each side."""
     rows = stump_rows(spark, sf_dir)
-    stump = models.boosted(2).setMaxIter(1).setMaxDepth(1).fit(rows)
+    stump = models.boosted({}).setMaxIter(1).setMaxDepth(1).fit(rows)
     sides = stump.transform(rows).groupBy("many_backers")
     return rounded(sides.agg(F.avg("prediction").alias("prediction")), "prediction")
 
@@ -156,7 +158,7 @@ def gbt_stump(spark, sf_dir):
 @register("gbt_fit")
 def gbt_fit(spark, sf_dir):
     ready = prepared(spark, sf_dir)
-    model = _small_boosted(ready.arity).fit(ready.train)
+    model = largest_boosted(ready.levels).fit(ready.train)
     return models.feature_importance(model, encoding.slot_names(ready.table, "features"))
 
 
@@ -171,38 +173,58 @@ def kmeans_fit(spark, sf_dir):
 def cross_validate(spark, sf_dir):
     """Both grids, one row per combination, the chosen one marked."""
     ready = prepared(spark, sf_dir)
-    forest, boosted = models.forest(ready.arity), models.boosted(ready.arity)
+    forest, boosted = models.forest(ready.levels), models.boosted(ready.levels)
     tables = [
         models.cross_validate(
-            forest, models.forest_grid(forest, SMALL), models.auc_evaluator(), ready.train, 2
+            forest, models.forest_grid(forest, PUBLISHED), models.auc_evaluator(), ready.train, 2
         ).table.withColumn("model", F.lit(FOREST)),
         models.cross_validate(
-            boosted, models.boosted_grid(boosted, SMALL), models.rmse_evaluator(), ready.train, 2
+            boosted, models.boosted_grid(boosted, PUBLISHED), models.rmse_evaluator(), ready.train, 2
         ).table.withColumn("model", F.lit(BOOSTED)),
     ]
     both = tables[0].unionByName(tables[1])
     return both.select("model", "combo", F.to_json("params").alias("params"), "avg_metric", "std_metric", "best")
 
 
-@register("score")
+# Every test row once, with its invariants.
+TEST_ROWS = """SELECT "ID", {0} FROM parts WHERE split = 'test'"""
+
+
+@register("score", with_campaigns() + TEST_ROWS.format("label, TRUE AS is_class, TRUE AS has_scores"))
 def score(spark, sf_dir):
+    """Every test row is scored once: its class is 0 or 1, and its class scores add up to 0 (log odds)."""
     ready = prepared(spark, sf_dir)
-    model = models.logistic().fit(ready.train)
-    return models.score(model, ready.test).select("ID", "label", "prediction")
+    scored = models.score(models.logistic().fit(ready.train), ready.test)
+    odds = vector_to_array("rawPrediction")
+    return scored.select(
+        "ID",
+        "label",
+        F.col("prediction").isin(0.0, 1.0).alias("is_class"),
+        (F.abs(odds[0] + odds[1]) < 1e-9).alias("has_scores"),
+    )
 
 
-@register("prob_success")
+@register("prob_success", with_campaigns() + TEST_ROWS.format("TRUE AS in_range, TRUE AS agrees, TRUE AS complements"))
 def prob_success(spark, sf_dir):
+    """The probability of each test row lies in 0..1, decides its class, and complements the other class."""
     ready = prepared(spark, sf_dir)
     scored = models.score(models.logistic().fit(ready.train), ready.test)
-    return scored.select("ID", "prediction", positive_probability(F.col("probability")).alias("prob_success"))
+    both = scored.withColumns(
+        {"prob_success": positive_probability(F.col("probability")), "other": vector_to_array("probability")[0]}
+    )
+    return both.select(
+        "ID",
+        F.col("prob_success").between(0, 1).alias("in_range"),
+        ((F.col("prediction") == 1) == (F.col("prob_success") > 0.5)).alias("agrees"),
+        (F.abs(F.col("prob_success") + F.col("other") - 1) < 1e-9).alias("complements"),
+    )
 
 
 @register("fitted_classifiers")
 def fitted_classifiers(spark, sf_dir):
     """The classifier report over fitted models."""
     ready = prepared(spark, sf_dir)
-    fitted = {LOGISTIC: models.logistic(), FOREST: _small_forest(ready.arity)}
+    fitted = {LOGISTIC: models.logistic(), FOREST: largest_forest(ready.levels)}
     scored = {n: e.fit(ready.train).transform(ready.test) for n, e in fitted.items()}
     return evaluation.classifier_report(classification_long(scored))
 
@@ -210,7 +232,7 @@ def fitted_classifiers(spark, sf_dir):
 @register("fitted_regressors")
 def fitted_regressors(spark, sf_dir):
     ready = prepared(spark, sf_dir)
-    fitted = {LINEAR: models.linear(), BOOSTED: _small_boosted(ready.arity)}
+    fitted = {LINEAR: models.linear(), BOOSTED: largest_boosted(ready.levels)}
     scored = {n: e.fit(ready.train).transform(ready.test) for n, e in fitted.items()}
     return evaluation.regressor_report(regression_long(scored))
 
@@ -219,50 +241,96 @@ def fitted_regressors(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     """The 15 largest importances; the limit is the feature."""
     ready = prepared(spark, sf_dir)
-    model = _small_forest(ready.arity).fit(ready.train)
+    model = largest_forest(ready.levels).fit(ready.train)
     return models.feature_importance(model, encoding.slot_names(ready.table, "features_clf"), top=15)
 
 
-@register("classification_results")
+@register("classification_results", with_campaigns() + TEST_ROWS.format("label, TRUE AS in_range, TRUE AS agrees"))
 def classification_results(spark, sf_dir):
     ready = prepared(spark, sf_dir)
-    return reports.classification_results(_small_forest(ready.arity).fit(ready.train).transform(ready.test))
+    out = reports.classification_results(largest_forest(ready.levels).fit(ready.train).transform(ready.test))
+    return out.select(
+        "ID",
+        "label",
+        F.col("prob_success").between(0, 1).alias("in_range"),
+        ((F.col("prediction") == 1) == (F.col("prob_success") > 0.5)).alias("agrees"),
+    )
 
 
-@register("regression_results")
+@register("regression_results", with_campaigns() + TEST_ROWS.format("round(pledged, 6) AS pledged, TRUE AS inverts"))
 def regression_results(spark, sf_dir):
+    """The predicted amount of each test row is the inverse of its predicted log."""
     ready = prepared(spark, sf_dir)
-    return reports.regression_results(_small_boosted(ready.arity).fit(ready.train).transform(ready.test))
+    out = reports.regression_results(largest_boosted(ready.levels).fit(ready.train).transform(ready.test))
+    back = F.abs(F.log1p("pledged_pred") - F.col("pledged_log_pred")) < 1e-9
+    return rounded(out.select("ID", "pledged", back.alias("inverts")), "pledged")
 
 
-@register("elbow")
+@register(
+    "elbow",
+    "SELECT CAST(k AS INT) AS k, TRUE AS is_sum_of_squares, TRUE AS drop_follows FROM range(2, 11) AS r(k)",
+)
 def elbow(spark, sf_dir):
-    costs, _ = fit_segments(vectors(spark, sf_dir))
-    return clustering.wcss_drop(costs)
+    """Each k of the search once: its cost against the distances that the model's own assignment gives, and the drop."""
+    rows = vectors(spark, sf_dir)
+    with persisted(rows) as (held,):
+        fitted = clustering.search_clusters(held, CLUSTERS)
+        costs = small(clustering.elbow(held, fitted))
+        slots = vector_to_array("features")
+        sums = []
+        for k, model in fitted.items():
+            center = F.element_at(F.array(*[F.array(*map(F.lit, map(float, c))) for c in model.clusterCenters()]), F.col("prediction") + 1)
+            gaps = F.zip_with(slots, center, lambda a, b: (a - b) * (a - b))
+            own = model.transform(held).agg(F.sum(F.aggregate(gaps, F.lit(0.0), lambda t, x: t + x)).alias("own"))
+            sums.append((k, own.first()["own"]))
+    own = spark.createDataFrame(sums, "k int, own double")
+    before = own.select((F.col("k") + 1).alias("k"), F.col("own").alias("before"))
+    wanted = (F.col("before") - F.col("own")) / F.col("before") * 100
+    return (
+        clustering.wcss_drop(costs)
+        .join(own, "k")
+        .join(before, "k", "left")
+        .select(
+            "k",
+            (F.abs(F.col("wcss") - F.col("own")) <= 1e-9 * F.col("own")).alias("is_sum_of_squares"),
+            F.when(F.col("before").isNull(), F.col("drop_pct").isNull())
+            .otherwise(F.abs(F.col("drop_pct") - wanted) < 1e-6)
+            .alias("drop_follows"),
+        )
+    )
 
 
-@register("assign_clusters")
+@register("assign_clusters", with_campaigns() + """SELECT "ID", TRUE AS nearest FROM feat""")
 def assign_clusters(spark, sf_dir):
+    """Every campaign is assigned once, to the center nearest to it."""
     rows = vectors(spark, sf_dir)
     model = models.kmeans(CLUSTERS.k).fit(rows)
-    return model.transform(rows).select("ID", F.col("prediction").alias("cluster"))
+    return model.transform(rows).select("ID", _is_nearest(model).alias("nearest"))
+
+
+def _is_nearest(model):
+    """Whether the assigned center is as near as any, by distances computed anew."""
+    slots = vector_to_array("features")
+    distances = F.array(
+        *[
+            total([square(slots[i] - F.lit(float(v))) for i, v in enumerate(center)])
+            for center in model.clusterCenters()
+        ]
+    )
+    own = F.element_at(distances, F.col("prediction") + 1)
+    return own <= F.array_min(distances) * (1 + 1e-9) + 1e-9
 
 
-@register("embedding_clusters")
+@register("embedding_clusters", "SELECT vec_id, TRUE AS nearest FROM embeddings WHERE embedding IS NOT NULL")
 def embedding_clusters(spark, sf_dir):
-    """K-means over another vector table: size and mean squared norm per cluster."""
+    """K-means over another vector table: every vector is assigned once, to its nearest center."""
     from pyspark.ml.functions import array_to_vector
 
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
     model = models.kmeans(CLUSTERS.k).fit(rows)
-    norm = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x * x)
-    return (
-        model.transform(rows)
-        .groupBy(F.col("prediction").alias("cluster"))
-        .agg(F.count(F.lit(1)).alias("size"), F.avg(norm).alias("mean_square"))
-    )
+    return model.transform(rows).select("vec_id", _is_nearest(model).alias("nearest"))
 
 
 @register("run_report")
@@ -270,6 +338,5 @@ def run_report(spark, sf_dir):
     """The whole run: both tasks, segmentation, and the summary of all of them."""
     raw = campaigns(spark, sf_dir)
     rows = featured(spark, sf_dir)
-    supervised = train_and_evaluate(rows, spec=SMALL)
-    segments = segment(rows, ClusterSpec(search=(2, 3, 4)))
-    return run_summary(raw, with_split(rows), supervised, segments, SMALL.seed)
+    supervised = train_and_evaluate(rows)
+    return run_summary(raw, with_split(rows), supervised, segment(rows), PUBLISHED.seed)

@@ -230,10 +230,10 @@ def iqr_outliers_sketch(spark, sf_dir):
     return quality.iqr_outliers(featured(spark, sf_dir), SPEC.amounts)
 
 
-def _correlation_sql(cap: float | None = None) -> str:
+def _correlation_sql(log_ratio: bool = False) -> str:
     texts = {name: text.replace("log1p(", "ln(1 + ") for name, text in reports.CORRELATED.items()}
-    if cap is not None:
-        texts["Funding ratio"] = f"LEAST(funding_ratio, {cap})"
+    if log_ratio:
+        texts["Funding ratio"] = "ln(1 + funding_ratio)"
     parts = []
     for x, a in texts.items():
         for y, b in texts.items():
@@ -247,9 +247,9 @@ def correlation_matrix(spark, sf_dir):
     return quality.correlation_matrix(featured(spark, sf_dir), reports.correlated_features())
 
 
-@register("correlation_matrix_clipped", _correlation_sql(1.0))
-def correlation_matrix_clipped(spark, sf_dir):
-    return quality.correlation_matrix(featured(spark, sf_dir), reports.correlated_features(1.0))
+@register("correlation_matrix_log_ratio", _correlation_sql(True))
+def correlation_matrix_log_ratio(spark, sf_dir):
+    return quality.correlation_matrix(featured(spark, sf_dir), reports.correlated_features(True))
 
 
 CANDIDATES = (

@@ -173,7 +173,7 @@ def clustering_assignments(spark, sf_dir):
     return rounded(reports.clustering_assignments(enriched), "goal", "usd_pledged_real", "funding_ratio")
 
 
-BIN = "CAST(CASE WHEN {0} >= 1 THEN floor(log10({0}) * 4) ELSE -1 END AS INT)"
+BIN = "CAST(CASE WHEN {0} IS NULL OR isnan({0}) THEN NULL WHEN {0} >= 1 THEN floor(log10({0}) * 4) ELSE -1 END AS INT)"
 
 
 @register(

@@ -10,10 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# exp(x) leaves the double range just above 709; predictions are capped below it before expm1.
-LOG_CAP = 700.0
-
-
 def quoted(name: str) -> Column:
     """Column by its exact name, which may hold spaces or dots."""
     return F.col(f"`{name}`")
@@ -59,9 +55,9 @@ def exceeds(amount: Column, bound: Column) -> Column:
     return F.when(amount > bound, 1).otherwise(0)
 
 
-def amount_from_log(logged: Column, cap: float = LOG_CAP) -> Column:
-    """Inverse of ``log1p`` that stays finite for runaway predictions."""
-    return F.expm1(F.when(logged > cap, F.lit(cap)).otherwise(logged))
+def amount_from_log(logged: Column) -> Column:
+    """Inverse of ``log1p``; NaN stays NaN, and predictions above 709 are infinite amounts."""
+    return F.expm1(logged)
 
 
 def hash_bucket(key: Column, buckets: int, salt: str = "", offset: int = 1) -> Column:
@@ -86,8 +82,9 @@ def half_even(c: Column, digits: int) -> Column:
 
 
 def log_bin(amount: Column, per_decade: int) -> Column:
-    """Index of the logarithmic bin; amounts below 1 share bin -1."""
-    return F.when(amount >= 1, F.floor(F.log10(amount) * per_decade)).otherwise(F.lit(-1)).cast("int")
+    """Index of the logarithmic bin; amounts below 1 share bin -1, and missing amounts have none."""
+    known = F.when(amount >= 1, F.floor(F.log10(amount) * per_decade)).otherwise(F.lit(-1)).cast("int")
+    return F.when(amount.isNotNull() & ~F.isnan(amount), known)
 
 
 def positive_probability(probability: Column) -> Column:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pledgekit.functions.columns import half_even, nearest, quoted, square, total
+from pledgekit.functions.columns import half_even, nearest, quoted, rows_of, square, total
 from pledgekit.operators.models import kmeans
 from pledgekit.spec import ClusterSpec
 
@@ -35,20 +36,27 @@ def wcss(assigned: DataFrame, distance: str = "cluster_distance") -> DataFrame:
     return assigned.agg(F.sum(quoted(distance)).alias("wcss"))
 
 
-def elbow(prepared: DataFrame, spec: ClusterSpec = ClusterSpec()) -> DataFrame:
-    """Training cost for each k of the search: (k, wcss). Pass a cached or staged table.
+def search_clusters(prepared: DataFrame, spec: ClusterSpec = ClusterSpec()) -> dict[int, KMeansModel]:
+    """A model for each k of the search and for the chosen k. Pass a cached or staged table.
 
     Fits are independent; ``spec.parallelism`` of them share the cluster at a time.
     """
-    session = prepared.sparkSession
-
-    def cost(k: int) -> tuple[int, float]:
-        return k, float(kmeans(k, spec).fit(prepared).summary.trainingCost)
-
-    with ThreadPool(min(spec.parallelism, len(spec.search))) as pool:
-        rows = pool.map(inheritable_thread_target(session)(cost), spec.search)
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("wcss", T.DoubleType())])
-    return session.createDataFrame(rows, schema)
+    sizes = sorted({*spec.search, spec.k})
+    with ThreadPool(min(spec.parallelism, len(sizes))) as pool:
+        fitted = pool.map(inheritable_thread_target(prepared.sparkSession)(lambda k: kmeans(k, spec).fit(prepared)), sizes)
+    return dict(zip(sizes, fitted))
+
+
+def elbow(prepared: DataFrame, models: Mapping[int, KMeansModel]) -> DataFrame:
+    """Cost of each model under its final centers: (k, wcss), in one pass over ``features`` for all models."""
+    slots = vector_to_array("features")
+    costs = []
+    for k, model in models.items():
+        centers = model.clusterCenters()
+        columns = [slots[i] for i in range(len(centers[0]))]
+        costs.append({"k": F.lit(k), "wcss": F.sum(nearest(columns, centers)["distance"])})
+    sums = prepared.agg(*[c["wcss"].alias(f"_{i}") for i, c in enumerate(costs)])
+    return sums.select(F.inline(rows_of([{"k": c["k"], "wcss": F.col(f"_{i}")} for i, c in enumerate(costs)])))
 
 
 def wcss_drop(costs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,18 +22,8 @@ from pledgekit.operators.ranking import number_rows
 from pledgekit.runtime import require_columns
 from pledgekit.spec import ClusterSpec, FeatureSpec
 
-# A label table up to this many rows is held as a local relation, whose exact size Spark knows when
-# it decides on a broadcast; a larger one stays distributed.
-LOCAL_LABELS = 50_000
-
-LABELS = T.StructType(
-    [
-        T.StructField("column", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("idx", T.LongType()),
-    ]
-)
+#: Most labels of a column that ``StringIndexer`` may gather on the driver.
+MAX_LABELS = 10_000
 
 
 def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -49,20 +39,13 @@ def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def fit_labels(df: DataFrame, columns: Sequence[str], local_labels: int = LOCAL_LABELS) -> DataFrame:
+def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Index every label by descending frequency, ties by value: (column, value, n, idx).
 
-    Runs once, like the fit of an indexer. Labels beyond ``local_labels`` are numbered by a
-    range-partitioned sort, so a column of near-unique values does not end up in one task.
+    Runs once, like the fit of an indexer. Labels are numbered by a range-partitioned sort, so a column of
+    near-unique values does not end up in one task, nor on the driver.
     """
-    counts = label_counts(df, columns)
-    head = counts.limit(local_labels + 1).collect()
-    if len(head) <= local_labels:
-        order = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-        small = df.sparkSession.createDataFrame(head, counts.schema)
-        numbered = small.withColumn("idx", (F.row_number().over(order) - 1).cast("bigint")).collect()
-        return df.sparkSession.createDataFrame(numbered, LABELS)
-    numbered = number_rows(counts, [F.col("column"), F.desc("n"), F.col("value")], "_at")
+    numbered = number_rows(label_counts(df, columns), [F.col("column"), F.desc("n"), F.col("value")], "_at")
     # Size bound of the broadcast: one row per indexed column.
     firsts = numbered.groupBy("column").agg(F.min("_at").alias("_first"))
     return numbered.join(F.broadcast(firsts), "column").select(
@@ -73,8 +56,8 @@ def fit_labels(df: DataFrame, columns: Sequence[str], local_labels: int = LOCAL_
 def apply_labels(df: DataFrame, labels: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_idx``; null and unseen values share the slot after the last label.
 
-    Lookups carry no hint: Spark broadcasts a local label table by its known size, and joins a
-    larger one by shuffle, where adaptive execution splits a hot label.
+    Lookups carry no hint: Spark broadcasts a label table that proves small and joins a larger one by shuffle.
+    There a hot label needs adaptive execution with its skew join, so keep both enabled.
     """
     sizes = {r["column"]: r["n_labels"] for r in labels.groupBy("column").agg(F.count(F.lit(1)).alias("n_labels")).collect()}
     out = df
@@ -191,8 +174,11 @@ def feature_groups(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFram
 
 
 def fit_preparation(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> PipelineModel:
-    """Fit on the training rows only."""
+    """Fit on the training rows only. Columns of too many labels are refused before their labels are gathered."""
     require_columns(train, spec.inputs + spec.engagement)
+    counts = train.agg(*[F.approx_count_distinct(quoted(c)).alias(c) for c in spec.indexed]).first().asDict()
+    if wide := [c for c, n in counts.items() if n > MAX_LABELS]:
+        raise ValueError(f"more than {MAX_LABELS} labels, use fit_labels instead: {', '.join(wide)}")
     return preparation(spec).fit(declare_domains(train, spec))
 
 
@@ -204,15 +190,14 @@ def cluster_preparation(spec: ClusterSpec = ClusterSpec()) -> Pipeline:
     return Pipeline(stages=[assembler(spec.features, "clust_vec"), scaler("clust_vec", "features")])
 
 
-def largest_arity(model: PipelineModel) -> int:
-    """Most levels of any indexed column, the invalid slot included."""
-    sizes = [
-        len(labels) + 1
+def arities(model: PipelineModel) -> dict[str, int]:
+    """Levels of each indexed column, the invalid slot included."""
+    return {
+        c: len(labels) + 1
         for stage in model.stages
         if isinstance(stage, StringIndexerModel)
-        for labels in stage.labelsArray
-    ]
-    return max(sizes, default=0)
+        for c, labels in zip(stage.getInputCols(), stage.labelsArray)
+    }
 
 
 def slot_names(df: DataFrame, vector: str) -> DataFrame:

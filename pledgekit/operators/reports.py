@@ -75,16 +75,16 @@ def clustering_assignments(enriched: DataFrame) -> DataFrame:
     return project(enriched, ASSIGNMENTS)
 
 
-def classification_results(scored: DataFrame) -> DataFrame:
+def classification_results(scored: DataFrame, key: str = "ID", label: str = "label") -> DataFrame:
     return scored.select(
-        "ID", "label", "prediction", positive_probability(F.col("probability")).alias("prob_success")
+        quoted(key), quoted(label), "prediction", positive_probability(F.col("probability")).alias("prob_success")
     )
 
 
-def regression_results(scored: DataFrame) -> DataFrame:
+def regression_results(scored: DataFrame, key: str = "ID", amount: str = "pledged") -> DataFrame:
     return scored.select(
-        "ID",
-        "pledged",
+        quoted(key),
+        quoted(amount),
         F.col("prediction").alias("pledged_log_pred"),
         amount_from_log(F.col("prediction")).alias("pledged_pred"),
     )
@@ -101,12 +101,11 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def correlated_features(ratio_cap: float | None = None) -> dict[str, Column]:
-    """Columns of the correlation matrix; ``ratio_cap`` clips the heavy-tailed funding ratio."""
+def correlated_features(log_ratio: bool = False) -> dict[str, Column]:
+    """Columns of the correlation matrix; ``log_ratio`` takes ``log1p`` of the heavy-tailed funding ratio too."""
     out = {name: F.expr(text) for name, text in CORRELATED.items()}
-    if ratio_cap is not None:
-        ratio = F.col("funding_ratio")
-        out["Funding ratio"] = F.when(ratio > ratio_cap, ratio_cap).otherwise(ratio)
+    if log_ratio:
+        out["Funding ratio"] = F.log1p("funding_ratio")
     return out
 
 

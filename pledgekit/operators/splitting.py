@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pledgekit.functions.columns import hash_bucket, quoted
+from pledgekit.runtime import stage
 from pledgekit.spec import SplitSpec
 
 
 def random_split(df: DataFrame, spec: SplitSpec = SplitSpec()) -> tuple[DataFrame, DataFrame]:
-    """Seeded row sampling; repeats only while the input keeps its partitioning."""
+    """Seeded row sampling; repeats only while the input keeps its partitioning.
+
+    The input is written once, so both halves sample the same rows and none is lost or doubled.
+    """
     share = spec.train_percent / 100
-    train, test = df.randomSplit([share, 1 - share], seed=spec.seed)
+    train, test = stage(df, "random-split").randomSplit([share, 1 - share], seed=spec.seed)
     return train, test
 
 

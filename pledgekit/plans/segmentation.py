@@ -10,9 +10,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
 from pledgekit.functions.columns import quoted
-from pledgekit.operators import clustering, models, reports
+from pledgekit.operators import clustering, reports
 from pledgekit.operators.encoding import cluster_preparation
-from pledgekit.runtime import persisted, stage
+from pledgekit.runtime import persisted, small, stage
 from pledgekit.spec import ClusterSpec
 
 
@@ -31,9 +31,10 @@ class Segments:
 
 
 def fit_segments(vectors: DataFrame, spec: ClusterSpec = ClusterSpec()) -> tuple[DataFrame, KMeansModel]:
-    """Elbow table and final model over one cached vector column."""
+    """Elbow table of the search, and its model of the chosen k, over one cached vector column."""
     with persisted(vectors.select("features")) as (held,):
-        return clustering.elbow(held, spec), models.kmeans(spec.k, spec).fit(held)
+        fitted = clustering.search_clusters(held, spec)
+        return small(clustering.elbow(held, {k: fitted[k] for k in spec.search})), fitted[spec.k]
 
 
 def segment(featured: DataFrame, spec: ClusterSpec = ClusterSpec()) -> Segments:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from pledgekit.functions.columns import positive_probability, quoted
 from pledgekit.operators import evaluation, models, reports
-from pledgekit.operators.encoding import fit_preparation, largest_arity, prepare, slot_names
+from pledgekit.operators.encoding import arities, fit_preparation, prepare, slot_names
 from pledgekit.plans.campaigns import with_split
-from pledgekit.runtime import stage
+from pledgekit.runtime import small, stage
 from pledgekit.spec import FeatureSpec, ModelSpec, SplitSpec
 
 # Published model names.
@@ -36,8 +36,8 @@ class Prepared:
         return self.table.filter(F.col("split") == "test")
 
     @property
-    def arity(self) -> int:
-        return largest_arity(self.model)
+    def levels(self) -> dict[str, int]:
+        return arities(self.model)
 
 
 @dataclass(frozen=True)
@@ -111,16 +111,18 @@ def train_and_evaluate(
     features: FeatureSpec = FeatureSpec(),
     spec: ModelSpec = ModelSpec(),
     split: SplitSpec = SplitSpec(),
+    key: str = "ID",
+    amount: str = "pledged",
 ) -> Supervised:
     """Fit both baselines, tune both tree models, and report on the test split.
 
-    Fits run here; the returned reports stay lazy.
+    Fits run here, and the two-row metric reports are computed once; per-campaign results stay lazy.
     """
-    prepared = prepare_splits(featured, features, split)
+    prepared = prepare_splits(featured, features, split, key, amount)
     train, test = prepared.train, prepared.test
 
     logistic = models.logistic(features, spec).fit(train)
-    forest = models.forest(prepared.arity, features, spec)
+    forest = models.forest(prepared.levels, features, spec)
     tuned_forest = models.cross_validate(
         forest,
         models.forest_grid(forest, spec),
@@ -130,7 +132,7 @@ def train_and_evaluate(
         split,
     )
     linear = models.linear(features, spec).fit(train)
-    boosted = models.boosted(prepared.arity, features, spec)
+    boosted = models.boosted(prepared.levels, features, spec)
     tuned_boosted = models.cross_validate(
         boosted,
         models.boosted_grid(boosted, spec),
@@ -147,9 +149,9 @@ def train_and_evaluate(
         models={LOGISTIC: logistic, FOREST: tuned_forest.best, LINEAR: linear, BOOSTED: tuned_boosted.best},
         classifier_tuning=tuned_forest.table,
         regressor_tuning=tuned_boosted.table,
-        classifier_metrics=evaluation.classifier_report(classification_long(classified, features.label)),
-        regressor_metrics=evaluation.regressor_report(
-            regression_long(regressed, features.target), target=features.target
+        classifier_metrics=small(evaluation.classifier_report(classification_long(classified, features.label))),
+        regressor_metrics=small(
+            evaluation.regressor_report(regression_long(regressed, features.target, amount), target=features.target, amount=amount)
         ),
         classifier_importance=models.feature_importance(
             tuned_forest.best, slot_names(prepared.table, features.classifier_vector)
@@ -157,6 +159,6 @@ def train_and_evaluate(
         regressor_importance=models.feature_importance(
             tuned_boosted.best, slot_names(prepared.table, "features")
         ),
-        classification_results=reports.classification_results(classified[FOREST]),
-        regression_results=reports.regression_results(regressed[BOOSTED]),
+        classification_results=reports.classification_results(classified[FOREST], key, features.label),
+        regression_results=reports.regression_results(regressed[BOOSTED], key, amount),
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -14,19 +13,11 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session names it.
-
-    Only a local session without the setting gets a folder of this machine; a cluster session
-    without it is refused, because executors could not read one another's files.
-    """
+    """Folder every executor can reach, as the session names it; a session that names none is refused."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="pledgekit-")
-    spark.conf.set(CHECKPOINT_SETTING, made)
-    return made
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -56,6 +47,11 @@ def _order(df: DataFrame, last: Sequence[str]):
     return df.select(*[f"`{c}`" for c in df.columns if c not in last], *[f"`{c}`" for c in last]).schema
 
 
+def small(report: DataFrame) -> DataFrame:
+    """A report of a few rows, computed now and held with the plan, so that its readers do not compute it again."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 @contextmanager
 def persisted(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Cache frames for the length of a block of repeated reads, then release them."""

@@ -46,6 +46,7 @@ class CampaignSpec:
         return (self.goal, self.pledged, self.backers, self.usd_pledged, self.usd_goal)
 
 
+# Published names of the derived columns.
 ENGINEERED = (
     "campaign_duration_days",
     "launch_month",
@@ -127,6 +128,7 @@ class ModelSpec:
     forest_depths: tuple[int, ...] = (2,)
     boost_rounds: tuple[int, ...] = (20, 50)
     boost_depths: tuple[int, ...] = (3, 5)
+    max_bins: int = 256
     parallelism: int = 2
 
 

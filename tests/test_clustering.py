@@ -85,8 +85,8 @@ def test_published_drops(spark):
 def test_elbow_repeats_and_falls(points, parallelism):
     spec = ClusterSpec(search=(2, 3, 4), parallelism=parallelism)
     with persisted(encoding.assembler(COLUMNS, "features").transform(points)) as (held,):
-        costs = [r.wcss for r in clustering.elbow(held, spec).orderBy("k").collect()]
-        again = [r.wcss for r in clustering.elbow(held, spec).orderBy("k").collect()]
+        costs = [r.wcss for r in clustering.elbow(held, clustering.search_clusters(held, spec)).orderBy("k").collect()]
+        again = [r.wcss for r in clustering.elbow(held, clustering.search_clusters(held, spec)).orderBy("k").collect()]
     assert np.allclose(costs, again, rtol=1e-9) and costs[0] > costs[-1]
 
 

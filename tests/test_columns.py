@@ -65,10 +65,10 @@ def test_fill_defaults_only_fills_the_named_column(spark):
     assert [tuple(r) for r in cleaning.fill_defaults(df).collect()] == [("Unknown", None), ("a", "b")]
 
 
-def test_inverse_log_stays_finite(spark):
-    df = spark.createDataFrame([(800.0,), (0.0,), (None,), (2.0,)], "p double")
+def test_inverse_log_keeps_what_is_no_number(spark):
+    df = spark.createDataFrame([(800.0,), (0.0,), (None,), (2.0,), (float("nan"),)], "p double")
     out = values(df.select(C.amount_from_log(F.col("p"))))
-    assert math.isfinite(out[0]) and out[1] == 0.0 and out[2] is None
+    assert out[0] == math.inf and out[1] == 0.0 and out[2] is None and math.isnan(out[4])
     assert abs(out[3] - math.expm1(2.0)) < 1e-12
 
 
@@ -94,6 +94,8 @@ def test_hash_bucket_matches_md5(spark):
 def test_log_bins(spark):
     df = spark.createDataFrame([(0.0,), (0.99,), (1.0,), (10.0,), (1000.0,), (999.0,)], "x double")
     assert values(df.select(C.log_bin(F.col("x"), 1))) == [-1, -1, 0, 1, 3, 2]
+    missing = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert values(missing.select(C.log_bin(F.col("x"), 1))) == [None, None]
 
 
 def test_filters(spark):

@@ -24,16 +24,22 @@ def test_index_ties_unseen_and_null(words):
     assert relational == [r.w_idx for r in staged.orderBy("i").collect()] == [0, 1, 2, 3, 4, 4]
 
 
-def test_many_labels_take_the_distributed_way(featured):
+def test_labels_do_not_depend_on_the_layout(featured):
     columns = ["category", "country"]
-    few = encoding.fit_labels(featured, columns)
-    many = encoding.fit_labels(featured, columns, local_labels=10)
-    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
-    a = encoding.apply_labels(featured, few, columns).select("ID", "category_idx", "country_idx")
-    b = encoding.apply_labels(featured, many, columns).select("ID", "category_idx", "country_idx")
+    one = encoding.fit_labels(featured, columns)
+    other = encoding.fit_labels(featured.repartition(7, "ID"), columns)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+    a = encoding.apply_labels(featured, one, columns).select("ID", "category_idx", "country_idx")
+    b = encoding.apply_labels(featured, other, columns).select("ID", "category_idx", "country_idx")
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_too_many_labels_are_refused(featured, monkeypatch):
+    monkeypatch.setattr(encoding, "MAX_LABELS", 20)
+    with pytest.raises(ValueError, match="category"):
+        encoding.fit_preparation(featured)
+
+
 def test_one_hot_widths(featured):
     model = encoding.fit_preparation(featured.filter("split = 'train'"))
     names = [r.name for r in encoding.slot_names(encoding.prepare(featured, model), "features").orderBy("slot").collect()]

@@ -88,9 +88,10 @@ def test_regression_report_matches_the_evaluator(featured):
         assert math.isclose(amounts.setMetricName(name).evaluate(scored), found, rel_tol=1e-9)
 
 
-def test_runaway_prediction_keeps_the_report_finite(spark):
+def test_runaway_prediction_is_an_infinite_error(spark):
     df = spark.createDataFrame([("m", 1.0, math.log1p(1.0), 800.0)], "model string, pledged double, pledged_log double, prediction double")
-    assert math.isfinite(evaluation.regressor_report(df).first().mae_orig)
+    report = evaluation.regressor_report(df).first()
+    assert report.mae_orig == report.rmse_orig == math.inf and math.isfinite(report.rmse_log)
 
 
 def test_changes_against_the_baseline(spark):

@@ -68,14 +68,20 @@ def test_per_campaign_results(supervised):
     assert supervised.regression_results.filter(F.abs(F.expm1("pledged_log_pred") - F.col("pledged_pred")) > 1e-6).isEmpty()
 
 
-def test_arity_covers_every_label(supervised, rows):
-    assert supervised.prepared.arity == rows.select("category").distinct().count() + 1
+def test_levels_cover_every_label(supervised, rows):
+    assert supervised.prepared.levels["category"] == rows.select("category").distinct().count() + 1
+
+
+def test_bins_must_cover_the_levels():
+    assert models.forest({"a": 200}).getMaxBins() == models.boosted({}).getMaxBins() == 256
+    with pytest.raises(ValueError, match="b \\(300\\)"):
+        models.forest({"a": 200, "b": 300})
 
 
 def test_seeded_fits_repeat(rows):
     def importances():
         ready = prepare_splits(rows)
-        model = models.forest(ready.arity).setNumTrees(3).setMaxDepth(2).fit(ready.train)
+        model = models.forest(ready.levels).setNumTrees(3).setMaxDepth(2).fit(ready.train)
         return list(model.featureImportances.toArray())
 
     assert importances() == importances()

@@ -91,3 +91,11 @@ def test_converted_csv_filters_at_the_scan(spark, folder):
     assert "PushedFilters: [In(state, [failed,successful]), IsNotNull(ID), IsNotNull(goal)" in plan
     schema = plan[plan.index("ReadSchema") :].splitlines()[0]
     assert "deadline" in schema and "country" not in schema and "usd_goal_real" not in schema
+
+
+def test_year_partitions_are_pruned(spark, featured):
+    path = tables.write_parquet(featured.select("ID", "launched_year"), fresh_path(spark, "pruned"), ["launched_year"])
+    back = spark.read.parquet(path)
+    year = back.filter("launched_year = 1995")
+    assert "PartitionFilters: [isnotnull(launched_year" in year._jdf.queryExecution().executedPlan().toString()
+    assert len(year.inputFiles()) < len(back.inputFiles()) or year.count() == featured.filter("launched_year = 1995").count()
