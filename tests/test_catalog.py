@@ -1,6 +1,9 @@
 """Every query with an SQL twin, side by side in both engines on the smoke tables."""
 
 import math
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -43,3 +46,10 @@ def test_same_rows(spark, sf_dir, duck, name):
 def test_no_python_in_the_plan(spark, sf_dir, name):
     plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def test_entry_without_the_corpus_operators():
+    code = "import sys; sys.modules['pledgekit.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries())"
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shown = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120, check=True).stdout.split()
+    assert int(shown[0]) > 100 and shown[1] == "False"
