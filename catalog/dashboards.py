@@ -92,10 +92,24 @@ def dashboard(spark, sf_dir):
     return rounded(reports.dashboard(featured(spark, sf_dir)), "value", digits=3)
 
 
-@register("dashboard_json", _dashboard_sql())
+def _item(*keys: str) -> str:
+    return " || '/' || ".join(f"COALESCE(CAST({k} AS VARCHAR), 'none')" for k in keys)
+
+
+WHOLE_SQL = f"""
+UNION ALL SELECT 'month_category', {_item("launch_month", "main_category")}, m.measure,
+  round(CASE m.measure WHEN 'campaigns' THEN CAST(campaigns AS DOUBLE) ELSE success_rate END, 3)
+FROM (SELECT launch_month, main_category, COUNT(*) AS campaigns, AVG(label) AS success_rate FROM feat GROUP BY 1, 2),
+     (VALUES ('campaigns'), ('success_rate')) AS m(measure)
+UNION ALL SELECT 'goal_vs_pledged', {_item("goal_bin", "pledged_bin", "state")}, 'campaigns', CAST(COUNT(*) AS DOUBLE)
+FROM (SELECT {BIN.format("goal")} AS goal_bin, {BIN.format("pledged")} AS pledged_bin, state FROM feat)
+GROUP BY goal_bin, pledged_bin, state"""
+
+
+@register("dashboard_json", _dashboard_sql() + WHOLE_SQL)
 def dashboard_json(spark, sf_dir):
-    """The dashboard through the JSON writer and back."""
-    rows = reports.dashboard(featured(spark, sf_dir))
+    """All sections that need no model, through the JSON writer and back."""
+    rows = reports.whole_dashboard(featured(spark, sf_dir))
     path = write_json(rows, fresh_path(spark, "dashboard"), ["section"])
     back = spark.read.schema("item string, measure string, value double, section string").json(path)
     return rounded(back.select(*rows.columns), "value", digits=3)

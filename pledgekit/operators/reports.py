@@ -189,6 +189,28 @@ def dashboard(df: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFram
     return grouped.select(section.alias("section"), item.alias("item"), F.inline(rows_of(entries)))
 
 
+def _long(section: str, table: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """A small report in the dashboard's long form; the item joins the keys, a missing one shows as ``none``."""
+    item = F.concat_ws("/", *[F.coalesce(quoted(k).cast("string"), F.lit("none")) for k in keys])
+    entries = [{"measure": F.lit(m), "value": quoted(m).cast("double")} for m in measures]
+    return table.select(F.lit(section).alias("section"), item.alias("item"), F.inline(rows_of(entries)))
+
+
+def whole_dashboard(df: DataFrame, clustered: DataFrame | None = None) -> DataFrame:
+    """``dashboard`` with month by category, the density of goal against pledged, and, of clustered rows, of clusters."""
+    bins = ["goal_bin", "pledged_bin"]
+    out = dashboard(df)
+    parts = [
+        _long("month_category", success_by(df, "launch_month", "main_category"), ["launch_month", "main_category"], ["campaigns", "success_rate"]),
+        _long("goal_vs_pledged", goal_vs_pledged(df), [*bins, "state"], ["campaigns"]),
+    ]
+    if clustered is not None:
+        parts.append(_long("clusters", cluster_dashboard(clustered), ["cluster", *bins], ["campaigns", "avg_backers"]))
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
 def run_facts(featured: DataFrame, raw: DataFrame, seed: int, label: str = "label") -> DataFrame:
     """Row counts of a run in long form: (section, item, value). ``featured`` carries ``split``."""
     raw_row = raw.agg(F.count(F.lit(1)).cast("double").alias("n"))

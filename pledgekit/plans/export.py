@@ -8,6 +8,7 @@ from pledgekit.operators import evaluation, quality, reports
 from pledgekit.plans.segmentation import Segments
 from pledgekit.plans.supervised import Supervised
 from pledgekit.sources.tables import write_csv, write_json
+from pledgekit.spec import ENGINEERED, CampaignSpec
 
 CLASSIFIER_METRICS = ("model", "accuracy", "f1", "auc", "precision", "recall", "tp", "tn", "fp", "fn")
 
@@ -36,6 +37,20 @@ def result_tables(supervised: Supervised, segments: Segments) -> tuple[dict[str,
     return large, small
 
 
+def quality_tables(raw: DataFrame, featured: DataFrame, spec: CampaignSpec = CampaignSpec()) -> dict[str, DataFrame]:
+    """What a run found about its data, by name; ``featured`` carries ``split``."""
+    return {
+        "null_profile": quality.null_profile(raw, with_nan=True),
+        "feature_nulls": quality.null_profile(featured, ENGINEERED),
+        "numeric_summary": quality.numeric_summary(raw, spec.amounts),
+        "duplicate_keys": quality.duplicate_keys(raw, spec.key),
+        "state_counts": quality.value_counts(raw, spec.state),
+        "stage_audit": quality.stage_audit(raw, spec),
+        "class_balance": quality.class_balance(featured, split="split"),
+        "outliers": quality.iqr_outliers(featured, spec.amounts),
+    }
+
+
 def export(supervised: Supervised, segments: Segments, folder: str, single_files: bool = True) -> list[str]:
     """CSV folders for all tables and JSON for the dashboard; returns the paths.
 
@@ -44,7 +59,7 @@ def export(supervised: Supervised, segments: Segments, folder: str, single_files
     large, small = result_tables(supervised, segments)
     paths = [write_csv(df, f"{folder}/{name}") for name, df in large.items()]
     paths += [write_csv(df, f"{folder}/{name}", single_files) for name, df in small.items()]
-    paths.append(write_json(reports.dashboard(segments.enriched), f"{folder}/dashboard_data", ["section"]))
+    paths.append(write_json(reports.whole_dashboard(segments.enriched, segments.enriched), f"{folder}/dashboard_data", ["section"]))
     return paths
 
 

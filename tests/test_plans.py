@@ -10,9 +10,11 @@ from catalog.fixture import campaigns, featured as build_featured
 from pledgekit.operators import clustering, models
 from pledgekit.plans.campaigns import with_split
 from pledgekit.plans.export import export, model_changes, result_tables, run_summary
+from pledgekit.plans.run import run
 from pledgekit.plans.segmentation import segment
 from pledgekit.plans.supervised import BOOSTED, FOREST, LINEAR, LOGISTIC, prepare_splits, train_and_evaluate
 from pledgekit.runtime import fresh_path
+from pledgekit.sources.tables import write_csv
 from pledgekit.spec import ClusterSpec, FeatureSpec, ModelSpec
 
 SPEC = ModelSpec(max_iter=20, forest_trees=(3, 5), boost_rounds=(2,), boost_depths=(2, 3))
@@ -122,6 +124,20 @@ def test_export_writes_every_table(spark, supervised, segments):
     assert set(json.loads(line)) == {"item", "measure", "value"}
 
 
+def test_run_from_files_to_folder(spark, sf_dir):
+    source, folder = fresh_path(spark, "run-csv"), fresh_path(spark, "run-out")
+    write_csv(campaigns(spark, sf_dir), source)
+    small_search = ClusterSpec(search=(2, 3))
+    paths = run(spark, source, folder, ModelSpec(max_iter=5, forest_trees=(2,), boost_rounds=(1,), boost_depths=(2,)), small_search)
+    names = {p.rsplit("/", 1)[1] for p in paths}
+    assert len(paths) == len(names) == 24
+    assert {"null_profile", "stage_audit", "run_summary", "dashboard_data", "campaigns_enriched"} <= names
+    summary = spark.read.option("header", True).csv(f"{folder}/run_summary")
+    assert summary.filter("section = 'rows' AND item = 'raw'").first()["value"] == "1500.0"
+    sections = {p.rsplit("=", 1)[1] for p in glob.glob(f"{folder}/dashboard_data/section=*")}
+    assert {"overview", "country", "month_category", "goal_vs_pledged", "clusters"} <= sections
+
+
 def test_run_summary_and_changes(spark, sf_dir, rows, supervised, segments):
     facts = run_summary(campaigns(spark, sf_dir), with_split(rows), supervised, segments, 42)
     found = {(r.section, r.item): r.value for r in facts.collect()}
