@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +30,7 @@ from pledgekit.plans.supervised import (
     regression_long,
     train_and_evaluate,
 )
-from pledgekit.runtime import persisted, small, stage
+from pledgekit.runtime import ensure_checkpoints, persisted, small, stage
 from pledgekit.spec import ClusterSpec, ModelSpec
 
 PUBLISHED = ModelSpec()
@@ -89,11 +90,27 @@ def logistic_levels(spark, sf_dir):
     return rounded(scored.groupBy("main_category").agg(F.avg("p").alias("prob_success")), "prob_success", digits=4)
 
 
-@register("forest_fit")
+def _importance_facts(model, names):
+    """Number of slots without exactly one importance, and whether importances are shares that add up to 1."""
+    table = models.feature_importance(model, names)
+    counts = names.select(F.col("name").alias("feature")).join(table, "feature", "left")
+    per = counts.groupBy("feature").agg(F.count("importance").alias("n"), F.sum("importance").alias("share"))
+    return per.agg(
+        F.count_if(F.col("n") != 1).alias("odd_slots"),
+        (F.abs(F.sum("share") - 1) < 1e-9).alias("adds_up"),
+        (F.min("share") >= 0).alias("shares"),
+    )
+
+
+IMPORTANCE_SQL = "SELECT CAST(0 AS BIGINT) AS odd_slots, TRUE AS adds_up, TRUE AS shares"
+
+
+@register("forest_fit", IMPORTANCE_SQL)
 def forest_fit(spark, sf_dir):
+    """The largest published forest: one importance per slot. ``feature_importance`` returns the values."""
     ready = prepared(spark, sf_dir)
     model = largest_forest(ready.levels).fit(ready.train)
-    return models.feature_importance(model, encoding.slot_names(ready.table, "features_clf"))
+    return _importance_facts(model, encoding.slot_names(ready.table, "features_clf"))
 
 
 @register("linear_fit")
@@ -155,11 +172,13 @@ def gbt_stump(spark, sf_dir):
     return rounded(sides.agg(F.avg("prediction").alias("prediction")), "prediction")
 
 
-@register("gbt_fit")
+@register("gbt_fit", IMPORTANCE_SQL)
 def gbt_fit(spark, sf_dir):
+    """The largest published boosted trees: one importance per slot."""
     ready = prepared(spark, sf_dir)
+    ensure_checkpoints(spark)
     model = largest_boosted(ready.levels).fit(ready.train)
-    return models.feature_importance(model, encoding.slot_names(ready.table, "features"))
+    return _importance_facts(model, encoding.slot_names(ready.table, "features"))
 
 
 @register("kmeans_fit")
@@ -169,9 +188,20 @@ def kmeans_fit(spark, sf_dir):
     return clustering.model_centers(rows, model, CLUSTERS.features)
 
 
-@register("cross_validate")
+def _grid_sql() -> str:
+    sizes = {
+        FOREST: len(PUBLISHED.forest_trees) * len(PUBLISHED.forest_depths),
+        BOOSTED: len(PUBLISHED.boost_rounds) * len(PUBLISHED.boost_depths),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS model, CAST(combo AS INT) AS combo, TRUE AS best_is_best, TRUE AS measured FROM range({n}) AS r(combo)"
+        for m, n in sizes.items()
+    )
+
+
+@register("cross_validate", _grid_sql())
 def cross_validate(spark, sf_dir):
-    """Both grids, one row per combination, the chosen one marked."""
+    """Both published grids, one row per combination: the chosen one, and no other, has the best metric."""
     ready = prepared(spark, sf_dir)
     forest, boosted = models.forest(ready.levels), models.boosted(ready.levels)
     tables = [
@@ -183,7 +213,15 @@ def cross_validate(spark, sf_dir):
         ).table.withColumn("model", F.lit(BOOSTED)),
     ]
     both = tables[0].unionByName(tables[1])
-    return both.select("model", "combo", F.to_json("params").alias("params"), "avg_metric", "std_metric", "best")
+    model = Window.partitionBy("model")  # 3 and 4 rows
+    best = F.when(F.col("model") == FOREST, F.max("avg_metric").over(model)).otherwise(F.min("avg_metric").over(model))
+    first = F.min(F.when(F.col("avg_metric") == F.col("_best"), F.col("combo"))).over(model)
+    return both.withColumn("_best", best).select(
+        "model",
+        "combo",
+        (F.col("best") == (F.col("combo") == first)).alias("best_is_best"),
+        (F.col("avg_metric").isNotNull() & ~F.isnan("avg_metric") & (F.col("std_metric") >= 0)).alias("measured"),
+    )
 
 
 # Every test row once, with its invariants.
@@ -220,21 +258,49 @@ def prob_success(spark, sf_dir):
     )
 
 
-@register("fitted_classifiers")
+def _two_models(first: str, second: str, columns: str) -> str:
+    return with_campaigns() + f"""SELECT m.model, {columns} FROM parts, (VALUES ('{first}'), ('{second}')) AS m(model)
+        WHERE split = 'test' GROUP BY m.model"""
+
+
+@register("fitted_classifiers", _two_models(LOGISTIC, FOREST, "COUNT(*) AS n_test, TRUE AS accuracy_agrees, TRUE AS auc_in_range"))
 def fitted_classifiers(spark, sf_dir):
-    """The classifier report over fitted models."""
+    """The classifier report over fitted models: cells add up to the test rows, and accuracy is that of the predictions."""
     ready = prepared(spark, sf_dir)
     fitted = {LOGISTIC: models.logistic(), FOREST: largest_forest(ready.levels)}
     scored = {n: e.fit(ready.train).transform(ready.test) for n, e in fitted.items()}
-    return evaluation.classifier_report(classification_long(scored))
+    long = stage(classification_long(scored), "fitted-classifiers")
+    direct = long.groupBy("model").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("own"))
+    return (
+        evaluation.classifier_report(long)
+        .join(direct, "model")
+        .select(
+            "model",
+            (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")).alias("n_test"),
+            (F.abs(F.col("accuracy") - F.col("own")) < 1e-9).alias("accuracy_agrees"),
+            F.col("auc").between(0.5, 1).alias("auc_in_range"),
+        )
+    )
 
 
-@register("fitted_regressors")
+@register("fitted_regressors", _two_models(LINEAR, BOOSTED, "TRUE AS errors_agree, TRUE AS better_than_mean"))
 def fitted_regressors(spark, sf_dir):
+    """The regressor report over fitted models against errors recomputed from stored predictions."""
     ready = prepared(spark, sf_dir)
     fitted = {LINEAR: models.linear(), BOOSTED: largest_boosted(ready.levels)}
     scored = {n: e.fit(ready.train).transform(ready.test) for n, e in fitted.items()}
-    return evaluation.regressor_report(regression_long(scored))
+    long = stage(regression_long(scored), "fitted-regressors")
+    miss = F.col("pledged_log") - F.col("prediction")
+    direct = long.groupBy("model").agg(F.sqrt(F.avg(miss * miss)).alias("rmse"), F.avg(F.abs(miss)).alias("mae"))
+    return (
+        evaluation.regressor_report(long)
+        .join(direct, "model")
+        .select(
+            "model",
+            ((F.abs(F.col("rmse_log") - F.col("rmse")) < 1e-9) & (F.abs(F.col("mae_log") - F.col("mae")) < 1e-9)).alias("errors_agree"),
+            (F.col("r2_log") > 0).alias("better_than_mean"),
+        )
+    )
 
 
 @register("feature_importance")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.fixture import campaigns, featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
+from pledgekit.functions.columns import rows_of
 from pledgekit.operators import quality, ranking, reports
 from pledgekit.plans.campaigns import clean
+from pledgekit.runtime import stage
 from pledgekit.sources.tables import CAMPAIGN_SCHEMA, preview as first_rows
 from pledgekit.spec import ENGINEERED, CampaignSpec, FeatureSpec
 
@@ -180,9 +184,41 @@ def class_balance(spark, sf_dir):
     return rounded(quality.class_balance(split_featured(spark, sf_dir), split="split"), "pct")
 
 
-@register("approx_quantiles")
+QUARTILES = (0.25, 0.75)
+SKETCH_ERROR = 0.01
+
+
+def _within(rows, found):
+    """Which sketched quantiles (column, probability, value) have a rank within the error bound, counted over ``rows``."""
+    n = F.count(F.lit(1))
+    flags = [
+        {
+            "column": F.lit(c),
+            "probability": F.lit(p),
+            "within_error": (F.count_if(F.col(c) < v) <= (p + SKETCH_ERROR) * n)
+            & (F.count_if(F.col(c) <= v) >= (p - SKETCH_ERROR) * n),
+        }
+        for c, p, v in found
+    ]
+    sums = rows.agg(*[f["within_error"].alias(f"_{i}") for i, f in enumerate(flags)])
+    return sums.select(F.inline(rows_of([f | {"within_error": F.col(f"_{i}")} for i, f in enumerate(flags)])))
+
+
+QUARTILES_SQL = _union(
+    [
+        f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS probability, TRUE AS within_error"""
+        for c in SPEC.amounts
+        for p in QUARTILES
+    ]
+)
+
+
+@register("approx_quantiles", QUARTILES_SQL)
 def approx_quantiles(spark, sf_dir):
-    return quality.quantiles(featured(spark, sf_dir), SPEC.amounts, [0.25, 0.75])
+    """The sketched quartiles, each with its rank checked against the bound."""
+    rows = stage(featured(spark, sf_dir).select(*SPEC.amounts), "quantile-input")
+    found = quality.quantiles(rows, SPEC.amounts, QUARTILES, SKETCH_ERROR).collect()
+    return _within(rows, [(r["column"], r["probability"], r["value"]) for r in found])
 
 
 POINTS = (0.25, 0.5, 0.75)
@@ -225,9 +261,23 @@ def iqr_outliers(spark, sf_dir):
     return rounded(out, "q1", "q3", "lower", "upper", "pct")
 
 
-@register("iqr_outliers_sketch")
+@register("iqr_outliers_sketch", QUARTILES_SQL.replace("AS within_error", "AS within_error, TRUE AS counts_agree"))
 def iqr_outliers_sketch(spark, sf_dir):
-    return quality.iqr_outliers(featured(spark, sf_dir), SPEC.amounts)
+    """Outliers by sketched quartiles: ranks within the bound, and the counts as the reported bounds give them."""
+    rows = stage(featured(spark, sf_dir).select(*SPEC.amounts), "outlier-input")
+    found = quality.iqr_outliers(rows, SPEC.amounts, relative_error=SKETCH_ERROR).collect()
+    quartiles = [(r["column"], p, r[q]) for r in found for p, q in zip(QUARTILES, ("q1", "q3"))]
+    outside = rows.agg(
+        *[F.count_if((F.col(r["column"]) < r["lower"]) | (F.col(r["column"]) > r["upper"])).alias(f"_{i}") for i, r in enumerate(found)]
+    )
+    agree = outside.select(
+        F.inline(
+            rows_of(
+                [{"column": F.lit(r["column"]), "counts_agree": F.col(f"_{i}") == r["outliers"]} for i, r in enumerate(found)]
+            )
+        )
+    )
+    return _within(rows, quartiles).join(agree, "column")
 
 
 def _correlation_sql(log_ratio: bool = False) -> str:
