@@ -10,7 +10,7 @@ from catalog.registry import register, rounded
 from pledgekit.functions.columns import nearest, rows_of
 from pledgekit.operators import clustering, encoding, reports
 from pledgekit.runtime import stage
-from pledgekit.spec import ClusterSpec
+from pledgekit.spec import PROFILE, ClusterSpec
 
 FEATURES = ClusterSpec().features
 SCALED = [f"{c}_scaled" for c in FEATURES]
@@ -123,16 +123,6 @@ def silhouette(spark, sf_dir):
     return rounded(clustering.silhouette(assigned(spark, sf_dir), SCALED), "silhouette")
 
 
-PROFILE = (
-    ("avg_goal", "goal"),
-    ("avg_pledged", "usd_pledged_real"),
-    ("avg_backers", "backers"),
-    ("avg_duration_days", "campaign_duration_days"),
-    ("avg_funding_ratio", "funding_ratio"),
-    ("success_rate", "label"),
-)
-
-
 @register(
     "cluster_profiles",
     with_campaigns(*ASSIGNED_SQL)

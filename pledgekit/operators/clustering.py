@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from pledgekit.functions.columns import half_even, nearest, quoted, rows_of, square, total
 from pledgekit.operators.models import kmeans
-from pledgekit.spec import ClusterSpec
+from pledgekit.spec import PROFILE, ClusterSpec
 
 PROFILE_DIGITS = 3
 
@@ -120,18 +120,15 @@ def silhouette(assigned: DataFrame, columns: Sequence[str], cluster: str = "clus
     return scored.agg(F.avg(value).alias("silhouette"))
 
 
-def cluster_profiles(assigned: DataFrame, cluster: str = "cluster") -> DataFrame:
+def cluster_profiles(
+    assigned: DataFrame,
+    cluster: str = "cluster",
+    key: str = "ID",
+    averages: Sequence[tuple[str, str]] = PROFILE,
+) -> DataFrame:
     """Size, averages and success rate per cluster, rounded half-even."""
-    averages = (
-        ("avg_goal", "goal"),
-        ("avg_pledged", "usd_pledged_real"),
-        ("avg_backers", "backers"),
-        ("avg_duration_days", "campaign_duration_days"),
-        ("avg_funding_ratio", "funding_ratio"),
-        ("success_rate", "label"),
-    )
     return assigned.groupBy(quoted(cluster).alias("cluster")).agg(
-        F.count("ID").alias("size"),
+        F.count(quoted(key)).alias("size"),
         *[half_even(F.avg(quoted(c)), PROFILE_DIGITS).alias(name) for name, c in averages],
     )
 

@@ -109,6 +109,17 @@ class FeatureSpec:
         )
 
 
+# Columns of the published cluster profiles, as (name, averaged column).
+PROFILE = (
+    ("avg_goal", "goal"),
+    ("avg_pledged", "usd_pledged_real"),
+    ("avg_backers", "backers"),
+    ("avg_duration_days", "campaign_duration_days"),
+    ("avg_funding_ratio", "funding_ratio"),
+    ("success_rate", "label"),
+)
+
+
 @dataclass(frozen=True)
 class SplitSpec:
     train_percent: int = 80
