@@ -30,9 +30,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated, once, or left out, so that sources meet their targets."""
-    others = [c for c in docs.columns if c not in ("doc_id", "source")]
-    mixed = mixing.mix(docs, mixing.word_count(F.col("text")), carry=others)
-    return mixing.repeat_rows(mixed, docs.columns)
+    # Whole rows travel as one column, so that no column of theirs can clash with the mix's own.
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))
+    mixed = mixing.mix(rows, mixing.word_count(F.col("text")), carry=["row"])
+    return mixing.repeat_rows(mixed, ["row"]).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

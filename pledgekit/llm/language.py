@@ -130,7 +130,8 @@ class Identifier:
 
     def identify(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
-        if not words or not self.model.languages:
+        lettered = any(c.isalpha() for w in words for c in w)  # a word of other numerals has none
+        if not lettered or not self.model.languages:
             return UNDETERMINED, 0.0
         missing = set(words).difference(self.rows)
         if missing:

@@ -289,13 +289,13 @@ def test_language(spark):
         parts = styles[lang].split()
         text = " ".join("".join(r.choice(parts) for _ in range(r.randint(1, 3))) for _ in range(30))
         data.append((i, text, lang))
-    df = spark.createDataFrame(data + [(900, None, "en"), (901, "123 !?", None), (902, "", None), (None, "the and of", None)], "doc_id bigint, text string, lang string")
+    df = spark.createDataFrame(data + [(900, None, "en"), (901, "123 !?", None), (902, "", None), (903, "²² Ⅷ", None), (None, "the and of", None)], "doc_id bigint, text string, lang string")
     apart = language.held_out(F.col("doc_id"), 4, 2)
     model = language.learn_languages(df.filter(~apart))
     got = {x.doc_id: x for x in language.identify_languages(df, model).collect()}
     held = [i for i, *_ in data if zlib.crc32(str(i).encode()) % 4 == 2]
     assert sum(got[i].lang_pred == list(styles)[i % 3] for i in held) >= 0.97 * len(held)
-    assert all((got[i].lang_pred, got[i].score) == ("und", 0.0) for i in (900, 901, 902))
+    assert all((got[i].lang_pred, got[i].score) == ("und", 0.0) for i in (900, 901, 902, 903))
     assert got[None].lang_pred == "en" and all(0 <= x.score <= 1 for x in got.values())
     none = language.learn_languages(df.limit(0))
     assert {x.lang_pred for x in language.identify_languages(df, none).collect()} == {"und"}

@@ -127,6 +127,17 @@ def test_packing_holds_every_copy(results):
     assert len(room) <= packing.lower_bound(np.array([x.length for x in after]), 2048) + 1
 
 
+def test_extra_columns_may_have_any_name(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ["size", "repeats", "key", "score", "kept", "bucket", "row", "c0", "target", "label"]
+    docs = docs.withColumns({n: F.lit(7) for n in names}).withColumn("text", F.lit(None).cast("string"))
+    for _, build in corpus_pipeline.STAGES[:-1]:
+        out = build(spark, docs, folder)
+        assert out.columns == docs.columns
+        assert all(x.size == x.row == 7 and x.text is None for x in out.collect())
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
+
+
 def test_run_is_the_stages_in_a_row(spark, folder, results):
     found = corpus_pipeline.run(spark, folder).select("doc_id", "piece", F.col("ids_crc32")).collect()
     assert collections.Counter(found) == collections.Counter((x.doc_id, x.piece, x.ids_crc32) for x in results[4][1])
