@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import reduce
 
 import numpy as np
@@ -24,6 +25,8 @@ ROUNDS = 4
 #: Words whose ids a task remembers.
 REMEMBERED = 500_000
 MARKS = ".,!?;:"
+#: Where no such place is, every full stop and comma of a text is a word of its own.
+ODD = re.compile(r"[^\w\s.,]|[.,_]{2}")
 
 
 class WordEncoder:
@@ -52,7 +55,9 @@ class WordEncoder:
         wanted = chunks.difference(ended).union([c[:-1] for c in ended], [c[-1] for c in ended]) - self.known.keys()
         # A chunk of letters is one word to the tokenizer, so many can be encoded as one text and cut at word ends.
         words = [c for c in wanted if c.isalpha() and _latin(c)]
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        lines = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.array([i for e in encoded for i in e.ids], "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         packed, at = ids.tobytes(), 0
         if len(stops) != len(words):
@@ -68,20 +73,23 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; null is empty."""
-        split = []
+        chunks: list[str] = []
+        stops = []
         for text in texts:
             text = text or ""
             if _latin(text):
                 text = text.lower()
-            split.append(text.replace("\n", " ").split(" "))
-        missing = {c for chunks in split for c in chunks} - self.known.keys()
+            if not ODD.search(text):
+                text = text.replace(".", " .").replace(",", " ,")
+            chunks += text.replace("\n", " ").split(" ")
+            stops.append(len(chunks))
+        ids = list(map(self.known.get, chunks))
+        missing = [i for i, x in enumerate(ids) if x is None]
         if missing:
-            before = len(self.known)
-            self._learn(missing)
-            if len(self.known) <= before:  # it was emptied first
-                self._learn({c for chunks in split for c in chunks} - self.known.keys())
-        get = self.known.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+            self._learn({chunks[i] for i in missing})
+            for i in missing:
+                ids[i] = self.known[chunks[i]]
+        return [b"".join(ids[start:stop]) for start, stop in zip([0, *stops], stops)]
 
 
 def _latin(text: str) -> bool:
