@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from pledgekit.functions.columns import half_even, nearest, quoted, rows_of, square, total
 from pledgekit.operators.models import kmeans
+from pledgekit.sources.tables import small_table
 from pledgekit.spec import PROFILE, ClusterSpec
 
 PROFILE_DIGITS = 3
@@ -153,4 +154,4 @@ def model_centers(
     schema = T.StructType(
         [T.StructField("cluster", T.IntegerType())] + [T.StructField(c, T.DoubleType()) for c in columns]
     )
-    return prepared.sparkSession.createDataFrame(rows, schema)
+    return small_table(prepared.sparkSession, rows, schema)

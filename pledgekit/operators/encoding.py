@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pledgekit.functions.columns import quoted
 from pledgekit.operators.ranking import number_rows
 from pledgekit.runtime import require_columns
+from pledgekit.sources.tables import small_table
 from pledgekit.spec import ClusterSpec, FeatureSpec
 
 #: Most labels of a column that ``StringIndexer`` may gather on the driver.
@@ -207,4 +208,4 @@ def slot_names(df: DataFrame, vector: str) -> DataFrame:
     for group in found.get("attrs", {}).values():
         names.update({a["idx"]: a["name"] for a in group if "name" in a})
     schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("name", T.StringType())])
-    return df.sparkSession.createDataFrame(sorted(names.items()), schema)
+    return small_table(df.sparkSession, sorted(names.items()), schema)

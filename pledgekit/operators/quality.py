@@ -54,12 +54,6 @@ def assert_shape(df: DataFrame, expected_rows: int | None, expected_columns: Seq
     return df
 
 
-def column_presence(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Which of the named columns the table has: (column, present)."""
-    schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("present", T.BooleanType())])
-    return df.sparkSession.createDataFrame([(c, c in df.columns) for c in columns], schema)
-
-
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None, with_nan: bool = False) -> DataFrame:
     """Nulls per column, in rows and percent; optionally NaN apart from null."""
     names = list(columns or df.columns)
