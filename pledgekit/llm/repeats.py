@@ -61,14 +61,15 @@ def _digest(text: Column) -> Column:
 
 
 def _prints(docs: DataFrame, length: int) -> DataFrame:
-    """(digest, name, n_bytes, sha256, anchors) of every text; ``anchors`` are the hashes of its runs."""
+    """(key, digest, n_bytes, sha256, anchors) of every text; ``anchors`` are the hashes of its runs, twice at most."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = raw(part.column("text"))
         anchors, sha = [], []
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             runs = anchor_runs(data[a:b], length)
-            anchors.append(np.concatenate([r[3] for r in runs]) if runs else np.zeros(0, np.int64))
+            own, count = np.unique(np.concatenate([r[3] for r in runs] or [np.zeros(0, np.int64)]), return_counts=True)
+            anchors.append(np.repeat(own, np.minimum(count, 2)))  # once or more often is all that counts
             sha.append(hashlib.sha256(data[a:b]).hexdigest())
         ends = pa.array(np.cumsum([0, *map(len, anchors)]), pa.int32())
         lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(anchors)))
@@ -81,10 +82,10 @@ def _prints(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _passages(chosen: DataFrame, length: int) -> DataFrame:
-    """(digest, start, passage, anchor, at, bytes): every run of a text whose anchor occurs again.
+    """(digest, starts, passage, anchor, at, bytes): the runs of a text whose anchor occurs again, by passage.
 
-    A passage is the bytes that the strings of a run cover, ``at`` its anchor's place in it. Its bytes are given
-    with its first occurrence in a slice only.
+    A passage is the bytes that the strings of a run cover, ``at`` its anchor's place in it. A text that repeats itself
+    has a passage once with all its starts. Bytes are given with the first occurrence in a slice only.
     """
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -92,24 +93,28 @@ def _passages(chosen: DataFrame, length: int) -> DataFrame:
         known: set[bytes] = set()
         rows: list[tuple] = []
         for i, wanted in enumerate(part.column("anchors").to_pylist()):
-            text = data[offsets[i] : offsets[i + 1]].tobytes()
-            keep = np.array(wanted, np.int64)
-            for first, last, at, hashes in anchor_runs(data[offsets[i] : offsets[i + 1]], length):
+            own = data[offsets[i] : offsets[i + 1]]
+            keep, found = np.array(wanted, np.int64), {}
+            for first, last, at, hashes in anchor_runs(own, length):
                 for k in np.flatnonzero(np.isin(hashes, keep)).tolist():
-                    a, b, h = int(first[k]), int(last[k]) + length, int(hashes[k])
-                    piece = text[a:b]
-                    name = hashlib.blake2b(piece + int(at[k] - a).to_bytes(8, "little"), digest_size=16).digest()
-                    rows.append((i, a, name, h, int(at[k]) - a, None if name in known else piece))
+                    a, inner = int(first[k]), int(at[k] - first[k])
+                    piece = own[a : int(last[k]) + length]
+                    name = hashlib.blake2b(piece, digest_size=16, salt=inner.to_bytes(8, "little")).digest()
+                    if name in found:
+                        found[name][0].append(a)
+                        continue
+                    found[name] = ([a], int(hashes[k]), inner, None if name in known else piece.tobytes())
                     known.add(name)
+            rows += [(i, name, *values) for name, values in found.items()]
         columns = list(zip(*rows, strict=True)) if rows else [()] * 6
         digests = part.column("digest").take(pa.array(columns[0], pa.int64()))
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        kinds = (pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays(
             [digests, *[pa.array(c, t) for c, t in zip(columns[1:], kinds, strict=True)]],
-            names=["digest", "start", "passage", "anchor", "at", "bytes"],
+            names=["digest", "passage", "starts", "anchor", "at", "bytes"],
         )
 
-    schema = "digest binary, start bigint, passage binary, anchor bigint, at bigint, bytes binary"
+    schema = "digest binary, passage binary, starts array<bigint>, anchor bigint, at bigint, bytes binary"
     return map_texts(chosen, {c: c for c in ("digest", "text", "anchors")}, schema, work)
 
 
@@ -261,12 +266,13 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
 
     held = stage(_passages(chosen, length), "repeat-passages")
     distinct = held.groupBy("passage").agg(
-        F.max("anchor").alias("anchor"), F.max("at").alias("at"), F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")
+        F.max("anchor").alias("anchor"), F.max("at").alias("at"), F.max("bytes").alias("bytes"), F.sum(F.size("starts")).alias("n")
     )
     repeated = _resolve(distinct, length)
     spans = (
-        held.select("digest", "start", "passage")
+        held.select("digest", "starts", "passage")
         .join(repeated, "passage")
+        .select("digest", "first", "last", F.explode("starts").alias("start"))
         .groupBy("digest")
         .agg(
             F.collect_list(F.col("start") + F.col("first")).alias("firsts"),
