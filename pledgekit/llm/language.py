@@ -20,7 +20,7 @@ MAX_WORDS, MAX_GRAMS = 50_000, 100_000
 LONGEST_GRAM = 5
 #: Added to every count.
 SMOOTHING = 0.5
-#: Unseen words whose scores a task remembers.
+#: Unseen words whose scores a task remembers; a longer text is scored in slices of so many words.
 REMEMBERED = 200_000
 UNDETERMINED = "und"
 
@@ -102,7 +102,7 @@ class Identifier:
         self.model = model
         self.fresh = len(model.words)
         self.rows = dict(model.words)
-        self.scores = np.zeros((self.fresh + REMEMBERED + 1, len(model.languages)))
+        self.scores = np.zeros((self.fresh + REMEMBERED, len(model.languages)))
         self.scores[: self.fresh] = model.word_scores
 
     def backoff(self, word: str) -> np.ndarray:
@@ -118,27 +118,26 @@ class Identifier:
                 return self.model.gram_scores[found].mean(axis=0)
         return np.zeros(len(self.model.languages))
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.rows) + len(words) > self.fresh + REMEMBERED:
+    def _total(self, words: list[str]) -> np.ndarray:
+        """Sum of the scores of at most ``REMEMBERED`` words; what is remembered makes room for them if needed."""
+        missing = set(words).difference(self.rows)
+        if len(self.rows) + len(missing) > self.fresh + REMEMBERED:
             self.rows = dict(self.model.words)
-        for word in words:
+            missing = set(words).difference(self.rows)
+        for word in missing:
             at = len(self.rows)
-            if at >= len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
             self.scores[at] = self.backoff(word)
             self.rows[word] = at
+        return self.scores[list(map(self.rows.__getitem__, words))].sum(axis=0)
 
     def identify(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
         lettered = any(c.isalpha() for w in words for c in w)  # a word of other numerals has none
         if not lettered or not self.model.languages:
             return UNDETERMINED, 0.0
-        missing = set(words).difference(self.rows)
-        if missing:
-            self._learn(missing)
-            if missing := set(words).difference(self.rows):  # the rest was dropped to make room
-                self._learn(missing)
-        total = self.scores[list(map(self.rows.__getitem__, words))].sum(axis=0)
+        total = self._total(words[:REMEMBERED])
+        for at in range(REMEMBERED, len(words), REMEMBERED):
+            total = total + self._total(words[at : at + REMEMBERED])
         best = int(np.argmax(total))
         return self.model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
 

@@ -309,6 +309,24 @@ def test_backoff_goes_from_long_to_short():
     assert judge.backoff("q").tolist() == [-2, -3] and judge.backoff("é").tolist() == [0, 0]
 
 
+@pytest.mark.parametrize("bound", [1, 7, 40])
+def test_more_unseen_words_than_are_remembered(bound, monkeypatch):
+    table = {c: i for i, c in enumerate("abcd")}
+    scores = np.log([[0.3, 0.2], [0.2, 0.3], [0.26, 0.24], [0.24, 0.26]])
+    model = language.LanguageModel(["x", "y"], {"known": 0}, np.log([[0.6, 0.4]]), table, scores)
+    r = random.Random(5)
+    unseen = ["".join(r.choice("abcd") for _ in range(7)) for _ in range(90)]
+    texts = [" ".join(unseen[:5]), " ".join([*unseen, "known", *unseen[::-1]]), " ".join(unseen[3:9]), "known a"]
+    whole = [language.Identifier(model).identify(t) for t in texts]
+    monkeypatch.setattr(language, "REMEMBERED", bound)
+    judge = language.Identifier(model)
+    for _ in range(2):
+        got = [judge.identify(t) for t in texts]
+        assert [g for g, _ in got] == [g for g, _ in whole]
+        assert np.allclose([s for _, s in got], [s for _, s in whole])
+    assert len(judge.rows) <= 1 + bound
+
+
 # Quality classifier
 
 
