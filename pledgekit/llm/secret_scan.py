@@ -40,10 +40,22 @@ CLASSES = (
 )
 KINDS = BASE_KINDS + tuple(c.kind for c in CLASSES)
 
-# Allow-list: what looks random and is no secret. A candidate inside one of these is left alone.
+# Allow-list: what looks random and is no secret. A candidate inside one of these is left alone. A URL ends at
+# quotes, separators, brackets, its query or fragment, and the value of a name in its path; of a user in it
+# nothing is allowed.
 ALLOWED = re.compile(
-    r"https?://\S+|[\w.+-]+@[\w-]+\.[\w.-]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|\S*(?:EXAMPLE|example|placeholder)\S*"
+    r"""https?://(?P<user>[^\s"'`,;|\\^<>()\[\]{}«»“”‘’?#&@/]*@)?(?:[^\s"'`,;|\\^<>()\[\]{}«»“”‘’?#&=]|=(?![A-Za-z0-9+/_-]))*"""
+    r"|[\w.+-]+@[\w-]+\.[\w.-]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 )
+#: Words that mark the candidate they are part of as made up.
+MADE_UP = re.compile("EXAMPLE|example|placeholder")
+
+
+def _made_up(run: str, start: int, end: int) -> bool:
+    """Whether the part of a run, between equals signs, that has most of a span holds a word for made-up values."""
+    parts = [m for m in re.finditer("[^=]+", run) if m.start() < end and start < m.end()]
+    most = max(parts, key=lambda m: min(m.end(), end) - max(m.start(), start))
+    return bool(MADE_UP.search(most[0]))
 
 
 def _mixed(part: str) -> bool:
@@ -92,7 +104,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind; positions are code points, ends exclusive.
 
-    Entropy spans that lie within a base span, or within an allowed string, add nothing and are left out.
+    Entropy spans that lie within a base span or an allowed string, or are marked as made up by a word in the
+    same run, add nothing and are left out.
     """
     found = base_spans(text)
     held = [(a, b) for _, a, b in found]
@@ -101,12 +114,15 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         for m in cls.run.finditer(text):
             if not _mixed(m[0]):
                 continue
+            marked = MADE_UP.search(m[0])
             for a, b in entropy_runs(m[0], cls.window, cls.bits):
+                if marked and _made_up(m[0], a, b):
+                    continue
                 a, b = a + m.start(), b + m.start()
                 if not _mixed(text[a:b]) or any(x <= a and b <= y for x, y in held):
                     continue
                 if allowed is None:
-                    allowed = [x.span() for x in ALLOWED.finditer(text)]
+                    allowed = [(x.end("user") if x["user"] else x.start(), x.end()) for x in ALLOWED.finditer(text)]
                 if not any(x <= a and b <= y for x, y in allowed):
                     held.append((a, b))
                     found.append((cls.kind, a, b))

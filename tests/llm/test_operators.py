@@ -444,6 +444,41 @@ def test_random_strings_are_found_and_allowed_ones_left():
     assert secret_scan.find_secrets("supercalifragilisticexpialidocious " * 3) == []
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"home":"https://a.com","signing":"KEY"}',
+        "{'home':'https://a.com','signing':'KEY'}",
+        '{"for":"example","signing":"KEY","not":"placeholder"}',
+        '{"signing":"KEY","for":"EXAMPLE"}',
+        'f("https://a.com/x"),g(KEY)',
+        "[https://a.com](KEY)",
+        "1,https://a.com/b,KEY,example",
+        "https://a.com/b;KEY|example",
+        "https://a.com/b?c=1&sig=KEY",
+        "https://a.com/example?sig=KEY",
+        "https://a.com/b#KEY",
+        "https://a.com/sig=KEY",
+        "https://me:KEY@a.com/b",
+        "example=KEY",
+    ],
+)
+def test_allowed_strings_end_where_they_end(text, spark):
+    key = "q7ZrT0xLw9Kd3VbN5mYc8HsP2fJg"
+    text = text.replace("KEY", key)
+    (found,) = secret_scan.find_secrets(text)
+    assert found[0] == "base64_entropy" and found[1] <= text.index(key) and text.index(key) + len(key) <= found[2]
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert key[:8] not in secret_scan.redact_secrets(df).first().text
+
+
+def test_allowed_candidates_in_minified_text():
+    key = "q7ZrT0xLw9Kd3VbN5mYc8HsP2fJg"
+    for text in (f'["https://a.com/d/{key}==","x"]', f'{{"mail":"{key}@a.com"}}', f"{key}EXAMPLEKEY", f"sig=EXAMPLE{key}"):
+        assert secret_scan.find_secrets(text) == []
+    assert secret_scan.find_secrets('{"id":"9F1C2E4A-5B6D-4E8F-A0B1-C2D3E4F50617"}') == []
+
+
 def test_secret_table(docs, rows):
     got = secret_scan.span_digest(secret_scan.secret_spans(docs)).collect()
     assert len(got) == len(rows)
