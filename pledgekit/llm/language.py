@@ -15,7 +15,8 @@ from pledgekit.runtime import stage
 
 #: The model is learned from about so many documents of each language, chosen by a hash of their key.
 FIT_DOCUMENTS = 2_000
-#: Most entries of the word table and of the n-gram table; the most frequent ones are kept.
+#: Most entries of the word table and of the n-gram table. Each language has an equal share for its most frequent
+#: ones; what shares leave goes to the most frequent of all.
 MAX_WORDS, MAX_GRAMS = 50_000, 100_000
 LONGEST_GRAM = 5
 #: Added to every count.
@@ -39,15 +40,39 @@ class LanguageModel:
     gram_scores: np.ndarray
 
 
+def _in_share(tiers: list[tuple[int, int]], share: int) -> Column:
+    """Whether an (entry, n) of a language is among about ``share`` most frequent, by its (n, entries with n).
+
+    Of the entries that tie at the end of the share, a hash chooses as many as fit.
+    """
+    chosen = F.lit(False)
+    for n, entries in sorted(tiers, reverse=True):
+        if entries > share:
+            part = int(share / entries * (1 << 20))
+            return chosen | ((F.col("n") == n) & (F.pmod(F.xxhash64("entry"), F.lit(1 << 20)) < part))
+        share -= entries
+        chosen = F.col("n") >= n
+    return chosen
+
+
 def _table(counts: DataFrame, languages: list[str], limit: int) -> tuple[dict[str, int], np.ndarray]:
-    """The most frequent entries of (entry, lang, n) and their smoothed log frequency per language."""
+    """Entries of (entry, lang, n) in the share of a language, then the most frequent, and their smoothed log frequency.
+
+    Entries that occur once are kept in a share only.
+    """
     per = [F.sum(F.when(F.col("lang") == g, F.col("n")).otherwise(0)).alias(f"_{i}") for i, g in enumerate(languages)]
-    wide = counts.groupBy("entry").agg(*per, F.sum("n").alias("_all")).filter(F.col("_all") > 1)
-    totals = np.array(counts.agg(*per).first(), dtype=object)
-    rows = wide.orderBy(F.col("_all").desc(), "entry").limit(limit).collect()  # bounded by `limit`
+    tiers: dict[str, list[tuple[int, int]]] = {g: [] for g in languages}
+    for r in counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("entries")).collect():  # distinct counts only
+        tiers[r["lang"]].append((r["n"], r["entries"]))
+    own = F.lit(False)
+    for g, found in tiers.items():
+        own = F.when(F.col("lang") == g, _in_share(found, limit // len(languages))).otherwise(own)
+    wide = counts.groupBy("entry").agg(*per, F.sum("n").alias("_all"), F.max(own).alias("_own"))
+    wide = wide.filter(F.col("_own") | (F.col("_all") > 1))
+    rows = wide.orderBy(F.col("_own").desc(), F.col("_all").desc(), "entry").limit(limit).collect()  # bounded by `limit`
     entries = {r["entry"]: i for i, r in enumerate(rows)}
     found = np.array([[r[f"_{i}"] for i in range(len(languages))] for r in rows], float).reshape(-1, len(languages))
-    size = np.array([float(t or 0) for t in totals]) + SMOOTHING * (len(rows) + 1)
+    size = np.array([float(sum(n * k for n, k in tiers[g])) for g in languages]) + SMOOTHING * (len(rows) + 1)
     return entries, np.log((found + SMOOTHING) / size)
 
 

@@ -301,6 +301,18 @@ def test_language(spark):
     assert {x.lang_pred for x in language.identify_languages(df, none).collect()} == {"und"}
 
 
+def test_a_rare_language_keeps_its_words(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_WORDS", 60)
+    common = [(i, " ".join(f"{a}{b}" for a in "abcdefghij" for b in "abcdefghij"), "xx") for i in range(20)]
+    rare = {f"z{a}{b}" for a in "klmno" for b in "klmn"}
+    df = spark.createDataFrame([*common, (99, " ".join(sorted(rare)), "yy")], "doc_id bigint, text string, lang string")
+    model = language.learn_languages(df)
+    assert rare <= set(model.words) and len(model.words) == 60
+    monkeypatch.setattr(language, "MAX_WORDS", 20)
+    kept = len(rare & set(language.learn_languages(df).words))
+    assert 3 <= kept <= 17
+
+
 def test_backoff_goes_from_long_to_short():
     table = {"<ab": 0, "zz": 1, "q": 2}
     model = language.LanguageModel(["x", "y"], {}, np.zeros((0, 2)), table, np.array([[-1.0, -9], [-9, -1], [-2, -3]]))
