@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import catalog.registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -29,6 +30,12 @@ def test_every_twin_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_readme_lists_what_has_no_twin():
+    with open(os.path.join(os.path.dirname(os.path.abspath(entry.__file__)), "README.md"), encoding="utf-8") as f:
+        said = f.read().split("Without a twin are ")[1].split(", and of the corpus operators")[0]
+    assert set(said.split("`")[1::2]) == set(catalog.registry.QUERIES) - set(catalog.registry.SQL)
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_same_rows(spark, sf_dir, duck, name):
     df = entry.queries()[name](spark, sf_dir)
