@@ -8,14 +8,32 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 
-from pledgekit.llm import language, mixing, near_dedup, packing, quality_model, quality_rules, repeats, secret_scan, topk, url_filter
+from pledgekit.llm import (
+    hard_negatives,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    repeats,
+    secret_scan,
+    topk,
+    url_filter,
+    vector_codes,
+)
 
 TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
-SQL: dict[str, str] = {"op3_quality_rules": quality_rules.SQL, "op4_mixing": mixing.SQL, "op8_exact_top_k": topk.SQL}
+SQL: dict[str, str] = {
+    "op3_quality_rules": quality_rules.SQL,
+    "op4_mixing": mixing.SQL,
+    "op8_exact_top_k": topk.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+}
 
 
 def register(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -82,3 +100,14 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
