@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pledgekit.llm import (
     hard_negatives,
     language,
+    license_scan,
     mixing,
     near_dedup,
     packing,
@@ -33,6 +34,7 @@ SQL: dict[str, str] = {
     "op8_exact_top_k": topk.SQL,
     "op11_vector_codes": vector_codes.SQL,
     "op12_hard_negatives": hard_negatives.SQL,
+    "op13_license_scan": license_scan.SQL,
 }
 
 
@@ -111,3 +113,8 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+@register
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
