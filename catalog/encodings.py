@@ -219,3 +219,39 @@ def slot_names(spark, sf_dir):
     rows = staged_splits(spark, sf_dir)
     model = encoding.fit_preparation(rows.filter(F.col("split") == "train"))
     return encoding.slot_names(encoding.prepare(rows, model), "features")
+
+
+SERIAL = FeatureSpec(high_card=("serial",))
+
+
+@register(
+    "prep_many_labels",
+    with_campaigns(
+        """serials AS (SELECT *, CASE WHEN "ID" % 10 = 0 THEN 'hot' ELSE concat('S', "ID" % 100003) END AS serial FROM parts)""",
+        "train_rows AS (SELECT * FROM serials WHERE split = 'train')",
+        *labels_sql("train_rows", SERIAL.indexed),
+        indexed_sql("serials", SERIAL.indexed),
+    )
+    + """SELECT "ID", split, serial, serial_idx, (SELECT COUNT(*) FROM idx_serial) + 1 AS serial_levels,
+         CAST(main_category_idx AS INT) AS main_category_slot FROM indexed""",
+)
+def prep_many_labels(spark, sf_dir):
+    """The preparation over a column with nearly as many labels as rows, one label on a tenth of them."""
+    serial = F.when(F.col("ID") % 10 == 0, "hot").otherwise(F.concat(F.lit("S"), F.col("ID") % 100003))
+    columns = ["ID", *[c for c in SERIAL.inputs if c != "serial"], *SERIAL.engagement, "split"]
+    rows = stage(split_featured(spark, sf_dir).select(*columns, serial.alias("serial")), "serials")
+    model = encoding.fit_preparation(rows.filter(F.col("split") == "train"), SERIAL)
+    prepared = encoding.prepare(rows, model, SERIAL)
+    attrs = prepared.schema["features"].metadata["ml_attr"]["attrs"]
+    at = {a["name"]: a["idx"] for group in attrs.values() for a in group}
+    levels = [a["num_vals"] for a in attrs["nominal"] if a["name"] == "serial_idx"][0]
+    hot = [i for name, i in sorted(at.items(), key=lambda x: x[1]) if name.startswith("main_category_ohe_")]
+    out = prepared.withColumn("v", vector_to_array("features"))
+    return out.select(
+        "ID",
+        "split",
+        "serial",
+        F.col("v")[at["serial_idx"]].alias("serial_idx"),
+        F.lit(levels).cast("bigint").alias("serial_levels"),
+        (F.array_position(F.slice("v", hot[0] + 1, len(hot)), 1.0) - 1).cast("int").alias("main_category_slot"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
@@ -13,18 +13,21 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pledgekit.functions.columns import quoted
+from pledgekit.operators.lookups import row_hash, spread_lookup
 from pledgekit.operators.ranking import number_rows
-from pledgekit.runtime import require_columns
+from pledgekit.runtime import fresh_path, require_columns
 from pledgekit.sources.tables import small_table
 from pledgekit.spec import ClusterSpec, FeatureSpec
 
-#: Most labels of a column that ``StringIndexer`` may gather on the driver.
-MAX_LABELS = 10_000
+LABELS = "column string, value string, n bigint, idx bigint"
 
 
 def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -43,37 +46,104 @@ def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Index every label by descending frequency, ties by value: (column, value, n, idx).
 
-    Runs once, like the fit of an indexer. Labels are numbered by a range-partitioned sort, so a column of
-    near-unique values does not end up in one task, nor on the driver.
+    Runs once, like the fit of an indexer, and is written to the shared folder by column. Labels are numbered by a
+    range-partitioned sort, so a column of near-unique values does not end up in one task, nor on the driver.
     """
+    return read_labels(df, _write_labels(df, columns))
+
+
+def read_labels(df: DataFrame, path: str) -> DataFrame:
+    return df.sparkSession.read.schema(LABELS).parquet(path).select("column", "value", "n", "idx")
+
+
+def _write_labels(df: DataFrame, columns: Sequence[str]) -> str:
     numbered = number_rows(label_counts(df, columns), [F.col("column"), F.desc("n"), F.col("value")], "_at")
     # Size bound of the broadcast: one row per indexed column.
     firsts = numbered.groupBy("column").agg(F.min("_at").alias("_first"))
-    return numbered.join(F.broadcast(firsts), "column").select(
-        "column", "value", "n", (F.col("_at") - F.col("_first")).alias("idx")
+    labels = numbered.join(F.broadcast(firsts), "column").select(
+        "value", "n", (F.col("_at") - F.col("_first")).alias("idx"), "column"
     )
+    path = fresh_path(df.sparkSession, "labels")
+    labels.write.partitionBy("column").parquet(path)
+    return path
 
 
-def apply_labels(df: DataFrame, labels: DataFrame, columns: Sequence[str]) -> DataFrame:
+def label_sizes(labels: DataFrame) -> dict[str, tuple[int, int]]:
+    """Labels and rows of each column; one row per column reaches the driver."""
+    per = labels.groupBy("column").agg(F.count(F.lit(1)).alias("levels"), F.sum("n").alias("rows"))
+    return {r["column"]: (r["levels"], r["rows"]) for r in per.collect()}
+
+
+def apply_labels(
+    df: DataFrame, labels: DataFrame, columns: Sequence[str], sizes: dict[str, tuple[int, int]] | None = None
+) -> DataFrame:
     """Add ``<column>_idx``; null and unseen values share the slot after the last label.
 
-    Lookups carry no hint: Spark broadcasts a label table that proves small and joins a larger one by shuffle.
-    There a hot label needs adaptive execution with its skew join, so keep both enabled.
+    Hot labels are broadcast (their number is bounded), rows of other labels are joined by shuffle unless
+    Spark sees that the label table is small, and rows without a label are dealt evenly.
     """
-    sizes = {r["column"]: r["n_labels"] for r in labels.groupBy("column").agg(F.count(F.lit(1)).alias("n_labels")).collect()}
+    sizes = label_sizes(labels) if sizes is None else sizes
     out = df
-    for i, c in enumerate(columns):
-        lookup = labels.filter(F.col("column") == c).select(
-            F.col("value").alias(f"_value{i}"), F.col("idx").alias(f"_idx{i}")
-        )
-        out = (
-            out.join(lookup, quoted(c).cast("string") == F.col(f"_value{i}"), "left")
-            .withColumn(f"{c}_idx", F.coalesce(F.col(f"_idx{i}"), F.lit(sizes.get(c, 0))).cast("double"))
-            .drop(f"_value{i}", f"_idx{i}")
-        )
+    for c in columns:
+        levels, rows = sizes.get(c, (0, 0))
+        own = labels.filter(F.col("column") == c).select("value", "n", F.col("idx").alias("_idx"))
+        found = spread_lookup(out, quoted(c).cast("string"), own, "value", "n", row_hash(df), ("_idx",), rows)
+        out = found.withColumn(f"{c}_idx", F.coalesce("_idx", F.lit(levels)).cast("double")).drop("_idx")
     return out
 
 
+class TableIndexer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Indexes text columns of any number of labels: ``StringIndexer`` under ``keep``, without its driver-side labels.
+
+    The fit writes the label table (``fit_labels``, one pass for all columns). The model looks labels up by joins and
+    puts the number of levels into the column's metadata. ``namedCols`` also put their labels there, for the names of
+    one-hot slots; a vector has a slot for each of these anyway.
+    """
+
+    namedCols = Param(Params._dummy(), "namedCols", "columns whose labels name slots", TypeConverters.toListString)
+
+    def __init__(self, columns: Sequence[str] = (), named: Sequence[str] = ()):
+        super().__init__()
+        self._set(inputCols=list(columns), namedCols=list(named))
+
+    def _fit(self, dataset: DataFrame) -> TableIndexerModel:
+        columns = self.getInputCols()
+        path = _write_labels(dataset, columns)
+        sizes = label_sizes(read_labels(dataset, path))
+        levels, rows = zip(*[sizes.get(c, (0, 0)) for c in columns], strict=True) if columns else ((), ())
+        return self._copyValues(TableIndexerModel(path, levels, rows))
+
+
+class TableIndexerModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds ``<column>_idx`` from a written label table. It names the table by path, so keep that as long as the model."""
+
+    namedCols = TableIndexer.namedCols
+    labelsPath = Param(Params._dummy(), "labelsPath", "written label table", TypeConverters.toString)
+    levels = Param(Params._dummy(), "levels", "labels per column", TypeConverters.toListInt)
+    rows = Param(Params._dummy(), "rows", "labelled rows per column", TypeConverters.toListInt)
+
+    def __init__(self, path: str = "", levels: Sequence[int] = (), rows: Sequence[int] = ()):
+        super().__init__()
+        self._set(labelsPath=path, levels=list(levels), rows=list(rows))
+
+    def sizes(self) -> dict[str, tuple[int, int]]:
+        both = zip(self.getOrDefault("levels"), self.getOrDefault("rows"), strict=True)
+        return dict(zip(self.getInputCols(), both, strict=True))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        named, sizes = self.getOrDefault("namedCols"), self.sizes()
+        labels = read_labels(dataset, self.getOrDefault("labelsPath"))
+        plain = [c for c in self.getInputCols() if c not in named]
+        out = apply_labels(dataset, labels, plain, sizes)
+        for c in plain:
+            out = out.withMetadata(f"{c}_idx", {"ml_attr": {"type": "nominal", "num_vals": sizes[c][0] + 1}})
+        ordered = labels.filter(F.col("column").isin(*named)).orderBy("idx").select("column", "value").collect()
+        for c in named:
+            values = [r.value for r in ordered if r["column"] == c]
+            out = StringIndexerModel.from_labels(values, c, f"{c}_idx", "keep").transform(out)
+        return out
+
+
 def string_indexer(columns: Sequence[str]) -> StringIndexer:
     """One estimator, hence one pass, for all columns."""
     return StringIndexer(
@@ -140,8 +210,8 @@ def declare_domains(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFra
 def preparation(spec: FeatureSpec = FeatureSpec()) -> Pipeline:
     """Stages producing ``features`` (launch-time columns) and ``features_clf`` (plus engagement).
 
-    Fitting takes two passes, one for all labels and one for all means and deviations: continuous
-    and engagement columns are scaled together and then sliced apart.
+    Fitting takes two passes, one for all means and deviations and one for all labels: continuous and engagement
+    columns are scaled together and then sliced apart, before any label is looked up.
     """
     one_hot = list(spec.low_card)
     plain = list(spec.high_card)
@@ -150,21 +220,23 @@ def preparation(spec: FeatureSpec = FeatureSpec()) -> Pipeline:
     hot_inputs = [f"{c}_idx" for c in one_hot] + [c for c, _ in spec.temporal]
     hot_outputs = [f"{c}_ohe" for c in one_hot] + [f"{c}_ohe" for c, _ in spec.temporal]
     n, m = len(spec.continuous), len(spec.engagement)
-    stages = [
-        string_indexer(spec.indexed),
-        one_hot_encoder(hot_inputs, hot_outputs, spec.drop_last),
+    scaled = [
         assembler(spec.continuous + spec.engagement, "numeric_vec"),
         scaler("numeric_vec", "numeric_scaled"),
         VectorSlicer(inputCol="numeric_scaled", outputCol="cont_scaled", indices=list(range(n))),
+    ]
+    if m:
+        scaled.append(
+            VectorSlicer(inputCol="numeric_scaled", outputCol="engagement_scaled", indices=list(range(n, n + m)))
+        )
+    stages = [
+        *scaled,
+        TableIndexer(spec.indexed, one_hot),
+        one_hot_encoder(hot_inputs, hot_outputs, spec.drop_last),
         assembler(["cont_scaled", *hot_outputs, *[f"{c}_idx" for c in plain]], "features"),
     ]
     if m:
-        stages += [
-            VectorSlicer(
-                inputCol="numeric_scaled", outputCol="engagement_scaled", indices=list(range(n, n + m))
-            ),
-            assembler(["features", "engagement_scaled"], "features_clf"),
-        ]
+        stages.append(assembler(["features", "engagement_scaled"], "features_clf"))
     return Pipeline(stages=stages)
 
 
@@ -175,11 +247,8 @@ def feature_groups(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFram
 
 
 def fit_preparation(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> PipelineModel:
-    """Fit on the training rows only. Columns of too many labels are refused before their labels are gathered."""
+    """Fit on the training rows only; columns may have any number of labels."""
     require_columns(train, spec.inputs + spec.engagement)
-    counts = train.agg(*[F.approx_count_distinct(quoted(c)).alias(c) for c in spec.indexed]).first().asDict()
-    if wide := [c for c, n in counts.items() if n > MAX_LABELS]:
-        raise ValueError(f"more than {MAX_LABELS} labels, use fit_labels instead: {', '.join(wide)}")
     return preparation(spec).fit(declare_domains(train, spec))
 
 
@@ -194,10 +263,7 @@ def cluster_preparation(spec: ClusterSpec = ClusterSpec()) -> Pipeline:
 def arities(model: PipelineModel) -> dict[str, int]:
     """Levels of each indexed column, the invalid slot included."""
     return {
-        c: len(labels) + 1
-        for stage in model.stages
-        if isinstance(stage, StringIndexerModel)
-        for c, labels in zip(stage.getInputCols(), stage.labelsArray)
+        c: levels + 1 for stage in model.stages if isinstance(stage, TableIndexerModel) for c, (levels, _) in stage.sizes().items()
     }
 
 

@@ -11,8 +11,20 @@ from pledgekit.functions.columns import quoted
 HOT_SHARE = 256
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a whole row, but for columns that hold maps."""
+    return F.xxhash64(*[quoted(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def spread_lookup(
-    rows: DataFrame, key: Column, table: DataFrame, on: str, weight: str, spread: Column, values: tuple[str, ...]
+    rows: DataFrame,
+    key: Column,
+    table: DataFrame,
+    on: str,
+    weight: str,
+    spread: Column,
+    values: tuple[str, ...],
+    total: int | None = None,
 ) -> DataFrame:
     """``rows`` with the ``values`` columns of the row of ``table`` whose ``on`` equals ``key``; null where there is none.
 
@@ -20,9 +32,11 @@ def spread_lookup(
     ``HOT_SHARE`` of all rows or more, are ``HOT_SHARE`` at most; they are broadcast. Other rows are joined by shuffle.
     Rows of a hot or null key need no partner there, so they are dealt by ``spread`` (a column that differs between
     rows) instead of meeting in one task. ``rows`` must have none of the ``values`` columns. Weights steer the work
-    only; wrong ones do not change the result. ``table`` is read twice and counted once, so give it staged.
+    only; wrong ones do not change the result. ``table`` is read twice, so give it staged; it is summed up
+    where the ``total`` of its weights is not given.
     """
-    total = table.agg(F.coalesce(F.sum(quoted(weight)), F.lit(0))).first()[0]
+    if total is None:
+        total = table.agg(F.coalesce(F.sum(quoted(weight)), F.lit(0))).first()[0]
     hot = table.filter(quoted(weight) * HOT_SHARE >= total)
     # Size bound of the broadcast: weights add up to the total, so HOT_SHARE rows reach that share at most.
     first = hot.select(F.lit(True).alias("_hot"), quoted(on).alias("_hot_key"), *[quoted(v).alias(f"_hot_{v}") for v in values])

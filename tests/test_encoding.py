@@ -34,10 +34,54 @@ def test_labels_do_not_depend_on_the_layout(featured):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_too_many_labels_are_refused(featured, monkeypatch):
-    monkeypatch.setattr(encoding, "MAX_LABELS", 20)
-    with pytest.raises(ValueError, match="category"):
-        encoding.fit_preparation(featured)
+def test_preparation_of_many_labels(spark):
+    """50,000 labels, one of them on a third of all rows: indexes equal those of a plain ranking, and only counts are metadata."""
+    n = 150_000
+    label = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1_000 == 1, None).otherwise(F.concat(F.lit("s"), F.col("id") % 50_021))
+    df = spark.range(n).select(
+        "id", label.alias("category"), F.lit("u").alias("currency"), F.concat(F.lit("n"), F.col("id") % 7).alias("country"),
+        F.lit("m").alias("main_category"), F.lit("b").alias("goal_bucket"), (1 + F.col("id") % 12).cast("int").alias("launch_month"),
+        (1 + F.col("id") % 7).cast("int").alias("launch_day_of_week"), *[(F.col("id") % 90).cast("double").alias(c) for c in
+        ("goal", "usd_goal_real", "campaign_duration_days", "backers")],
+    )
+    train = df.filter("id < 140000")
+    model = encoding.fit_preparation(train)
+    counts = {}
+    for i in range(140_000):
+        v = "hot" if i % 3 == 0 else None if i % 1_000 == 1 else f"s{i % 50_021}"
+        if v is not None:
+            counts[v] = counts.get(v, 0) + 1
+    order = {v: k for k, v in enumerate(sorted(counts, key=lambda v: (-counts[v], v)))}
+    assert len(order) > 49_000 and encoding.arities(model)["category"] == len(order) + 1
+    prepared = encoding.prepare(df, model)
+    attrs = prepared.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]
+    assert [a for a in attrs if a["name"] == "category_idx"][0] == {"idx": attrs[0]["idx"], "name": "category_idx", "num_vals": len(order) + 1}
+    slot = [a["idx"] for a in attrs if a["name"] == "category_idx"][0]
+    got = prepared.select("id", "category", "category_idx", vector_to_array("features")[slot].alias("x")).collect()
+    assert len(got) == n
+    assert all(r.category_idx == r.x == order.get(r.category, len(order)) for r in got)
+
+
+def test_table_indexer_is_a_string_indexer(featured, tmp_path):
+    """Same indexes and levels as the driver-side indexer, also after a saved model is read again."""
+    columns = ["category", "country", "goal_bucket"]
+    stage = encoding.string_indexer(columns).fit(featured).transform(featured)
+    model = encoding.TableIndexer(columns, ["goal_bucket"]).fit(featured)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = encoding.TableIndexerModel.load(str(tmp_path / "model"))
+    for m in (model, again):
+        out = m.transform(featured)
+        assert out.select("ID", *[f"{c}_idx" for c in columns]).exceptAll(stage.select("ID", *[f"{c}_idx" for c in columns])).isEmpty()
+        assert out.schema["goal_bucket_idx"].metadata["ml_attr"]["vals"] == stage.schema["goal_bucket_idx"].metadata["ml_attr"]["vals"]
+        levels = len(stage.schema["category_idx"].metadata["ml_attr"]["vals"])
+        assert out.schema["category_idx"].metadata["ml_attr"] == {"type": "nominal", "num_vals": levels}
+
+
+def test_preparation_of_an_empty_column(spark):
+    """A column without any label puts all rows into the slot of unknown values."""
+    df = spark.createDataFrame([(i, None) for i in range(5)], "i int, w string")
+    out = encoding.TableIndexer(["w"]).fit(df).transform(df)
+    assert {r.w_idx for r in out.collect()} == {0.0} and out.schema["w_idx"].metadata["ml_attr"]["num_vals"] == 1
 
 
 def test_one_hot_widths(featured):
