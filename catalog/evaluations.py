@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.fixture import split_featured, with_campaigns
+from catalog.fixture import featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
 from pledgekit.operators import evaluation
 
@@ -114,6 +114,24 @@ def auc_roc(spark, sf_dir):
     return rounded(evaluation.auc_roc(rule_predictions(spark, sf_dir)), "auc")
 
 
+@register(
+    "auc_by_member",
+    with_campaigns(
+        """members AS (SELECT "ID" % 5003 AS member, label, CAST(1 AS DOUBLE) / (1 + goal) AS score FROM feat),
+        places AS (SELECT member, label, rank() OVER (PARTITION BY member ORDER BY score)
+          + (COUNT(*) OVER (PARTITION BY member, score) - 1) / CAST(2 AS DOUBLE) AS r FROM members)"""
+    )
+    + """SELECT member AS model, round((SUM(CASE WHEN label = 1 THEN r ELSE 0 END) - SUM(label) * (SUM(label) + 1) / CAST(2 AS DOUBLE))
+         / NULLIF(CAST(SUM(label) AS DOUBLE) * SUM(1 - label), 0), 6) AS auc FROM places GROUP BY member""",
+)
+def auc_by_member(spark, sf_dir):
+    """One area per member of a key of thousands, not of a handful of models."""
+    rows = featured(spark, sf_dir).select(
+        (F.col("ID") % 5003).alias("member"), "label", (F.lit(1.0) / (F.col("goal") + 1)).alias("score")
+    )
+    return rounded(evaluation.auc_roc(rows, by="member"), "auc")
+
+
 @register("confusion_counts", with_campaigns(RULES_SQL) + "SELECT model, tp, tn, fp, fn FROM cells")
 def confusion_counts(spark, sf_dir):
     return _counts(spark, sf_dir)

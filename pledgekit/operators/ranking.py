@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,65 +10,23 @@ from pyspark.sql import functions as F
 from pledgekit.functions.columns import quoted
 from pledgekit.runtime import ensure_checkpoints, stage
 
-#: Most members of a report dimension.
-MAX_MEMBERS = 1_000
 
-
-def running_totals(
-    df: DataFrame,
-    order: str,
-    amounts: Sequence[str],
-    by: str | None = None,
-    blocks: int | None = None,
-) -> DataFrame:
+def running_totals(df: DataFrame, order: str, amounts: Sequence[str], by: str | None = None) -> DataFrame:
     """Add ``cum_<amount>`` (inclusive, ascending ``order``) and ``total_<amount>`` columns.
 
-    ``df`` holds one row per (``by``, ``order``) value, i.e. it is already pre-aggregated. Each group
-    is cut into ``blocks`` blocks of ``blocks`` value ranges of like size, at approximate quantiles; by
-    default there are four ranges for each of the session's shuffle partitions. Only the ranges are sorted,
-    and each starts from the sum of the ranges below it. The cuts steer the balance of the work alone:
-    any cuts give the same totals. ``by`` names a report dimension (a model, a column name) of at most
-    ``MAX_MEMBERS`` members, so cuts and range sums stay at ``blocks`` squared rows per member. ``df`` is written
-    once, since the cuts, the range sums and the rows themselves are three readers.
+    ``df`` holds one row per (``by``, ``order``) value, i.e. it is already pre-aggregated. One sort by (``by``,
+    ``order``) over value ranges deals all rows evenly, however many members ``by`` has and however many of the rows one
+    member holds. Its ranges are written once and never cut again: each is summed up by member, each sum is
+    carried to the later ranges of the same member, and every range adds up its own rows from there. A member has
+    at most one carried sum per range. A null member is a member of its own.
     """
-    spark = df.sparkSession
-    if blocks is None:
-        blocks = max(4, math.ceil(math.sqrt(4 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    ranges = blocks * blocks
-    df = stage(df, "running-totals")
-    if by is not None and df.select(quoted(by)).distinct().limit(MAX_MEMBERS + 1).count() > MAX_MEMBERS:
-        raise ValueError(f"{by} has more than {MAX_MEMBERS} members; running totals take a report dimension")
-    group = F.coalesce(quoted(by).cast("string"), F.lit("")) if by else F.lit("")
-    rows = df.withColumn("_group", group)
-    # One foldable expression rather than a plan node per point.
-    points = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
-    quantiles = F.percentile_approx(quoted(order), points, 4 * ranges)
-    every_block = F.transform(F.sequence(F.lit(1), F.lit(blocks - 1)), lambda k: F.element_at("cuts", k * blocks))
-    cuts = (
-        rows.groupBy("_group")
-        .agg(quantiles.alias("cuts"))
-        .select("_group", F.struct("cuts", every_block.alias("starts")).alias("c"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("_group", "c"))).alias("by_group"))
-    )
-
-    def place(frame: DataFrame) -> DataFrame:
-        """Number of cuts below each value: the block first, then the cuts of that block."""
-
-        def passed(values):
-            return F.size(F.filter(values, lambda cut: cut < quoted(order)))
-
-        return (
-            frame.withColumn("_cuts", cuts.scalar()[F.col("_group")])
-            .withColumn("_block", passed(F.col("_cuts.starts")) * blocks)
-            .withColumn("_range", F.col("_block") + passed(F.slice("_cuts.cuts", F.col("_block") + 1, blocks)))
-            .drop("_cuts", "_block")
-        )
-
+    group = F.coalesce(F.concat(F.lit("="), quoted(by).cast("string")), F.lit("")) if by else F.lit("")
+    sorted_rows = df.withColumn("_group", group).orderBy("_group", quoted(order)).withColumn("_range", F.spark_partition_id())
+    rows = stage(sorted_rows, "running-totals")
     below = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("_group")
     starts = (
-        place(rows)
-        .groupBy("_group", "_range")
+        rows.groupBy("_group", "_range")
         .agg(*[F.sum(quoted(a)).alias(f"_sum_{a}") for a in amounts])
         .select(
             "_group",
@@ -83,8 +40,7 @@ def running_totals(
         .orderBy(quoted(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Size bound of the broadcast: `ranges` rows per member of `by`, whatever the table holds.
-    return place(rows).join(F.broadcast(starts), ["_group", "_range"]).select(
+    return rows.join(starts, ["_group", "_range"]).select(
         *[quoted(c) for c in df.columns],
         *[(F.col(f"_start_{a}") + F.sum(quoted(a)).over(within)).alias(f"cum_{a}") for a in amounts],
         *[f"total_{a}" for a in amounts],

@@ -126,16 +126,29 @@ def test_sketched_quantiles_keep_their_rank_error(skewed):
         assert low - 0.01 * len(data) <= wanted <= high + 0.01 * len(data)
 
 
-@pytest.mark.parametrize("blocks", [2, 3, 16])
-def test_running_totals_do_not_depend_on_the_cuts(spark, blocks):
-    rows = [(g, float(v), v % 5) for g in ("a", "b") for v in range(-20, 60)]
+@pytest.mark.parametrize("ranges", ["1", "3", "16"])
+def test_running_totals_do_not_depend_on_the_ranges(spark, ranges):
+    """Ranges within a member, across members, and of many members at once; a null member and an empty name."""
+    rows = [(g, float(v), v % 5) for g in ("a", "b", "", None) for v in range(-20, 60)]
+    rows += [(f"m{i:04d}", float(v), i + v) for i in range(1_200) for v in range(2)]
     df = spark.createDataFrame(rows, "g string, v double, n bigint")
-    got = {(r.g, r.v): (r.cum_n, r.total_n) for r in ranking.running_totals(df, "v", ["n"], "g", blocks).collect()}
-    for g in ("a", "b"):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = ranking.running_totals(df, "v", ["n"], "g").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = {(r.g, r.v): (r.cum_n, r.total_n) for r in out}
+    assert len(out) == len(rows)
+    for g in ("a", "b", "", None):
         run = 0
         for v in range(-20, 60):
             run += v % 5
             assert got[g, float(v)] == (run, 160)
+    for i in range(1_200):
+        assert got[f"m{i:04d}", 0.0] == (i, 2 * i + 1) and got[f"m{i:04d}", 1.0] == (2 * i + 1, 2 * i + 1)
 
 
 def test_number_rows_is_a_total_order(spark):
