@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pledgekit.llm.components import components
 from pledgekit.llm.text import field_type, map_texts, mix64, raw, word_hashes
+from pledgekit.operators.lookups import spread_lookup
 from pledgekit.runtime import stage
 
 # Words per shingle, and the least similarity in percent.
@@ -151,29 +152,34 @@ def shingle_prints(df: DataFrame, text: str, key: str, bands: int = BANDS, rows:
 
 
 def _set_table(df: DataFrame, wanted: DataFrame, text: str, key: str) -> DataFrame:
-    """(key, shingles) of the documents in ``wanted``, as little-endian 64-bit hashes."""
+    """(node, shingles) of the classes in ``wanted`` (rep, print, node), as little-endian 64-bit hashes.
+
+    Where rows share a key but not a text, the digest tells which of them belongs to the class.
+    """
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         packed = [s.astype("<u8").tobytes() for s in shingle_sets(*raw(part.column("text")))]
-        return pa.RecordBatch.from_arrays([part.column("key"), pa.array(packed, pa.binary())], names=["key", "shingles"])
+        own = [hashlib.blake2b(s, digest_size=16).digest() == p for s, p in zip(packed, part.column("print").to_pylist(), strict=True)]
+        both = pa.RecordBatch.from_arrays([part.column("node"), pa.array(packed, pa.binary())], names=["node", "shingles"])
+        return both.filter(pa.array(own, pa.bool_()))
 
-    docs = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    chosen = docs.join(wanted, "key", "left_semi")
-    return map_texts(chosen, {"key": "key", "text": "text"}, f"key {field_type(df, key)}, shingles binary", work)
+    docs = df.select(F.col(f"`{key}`").alias("rep"), F.col(f"`{text}`").alias("text"))
+    chosen = docs.join(wanted, "rep")
+    found = map_texts(chosen, {c: c for c in ("node", "print", "text")}, "node bigint, shingles binary", work)
+    return found.dropDuplicates(["node"])
 
 
 def _confirm(edges: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The edges (center, key) whose whole sets are similar enough.
+    """The edges (center, node) whose whole sets are similar enough.
 
     A center's edges are dealt into chunks that hold its set once each, so a center of many is many small groups.
     """
-    kind = field_type(sets, "key")
     counts = edges.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / CHUNK_EDGES).cast("int").alias("chunks"))
-    dealt = edges.join(counts, "center").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
-    members = dealt.join(sets, "key").select("center", "chunk", "key", "shingles")
+    dealt = edges.join(counts, "center").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    members = dealt.join(sets, "node").select("center", "chunk", "node", "shingles")
     every_chunk = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     hubs = counts.select(F.col("center").alias("hub"), every_chunk.alias("part")).join(
-        sets.select(F.col("key").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub"
+        sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub"
     )
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -184,37 +190,57 @@ def _confirm(edges: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
                 if not keep[i]:
                     common = len(np.intersect1d(hub, other, assume_unique=True))
                     keep[i] = linked(common, len(hub), len(other), similarity)
-        return left.filter(pa.array(keep)).select(["center", "key"])
+        return left.filter(pa.array(keep)).select(["center", "node"])
 
-    return members.groupBy("center", "chunk").cogroup(hubs.groupBy("hub", "part")).applyInArrow(check, f"center {kind}, key {kind}")
+    return members.groupBy("center", "chunk").cogroup(hubs.groupBy("hub", "part")).applyInArrow(check, "center bigint, node bigint")
 
 
 def _resolve(groups: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Edges among the members (bucket, key, n) of unresolved buckets, from blocks of bounded size.
+    """Edges among the members (bucket, node, n_shingles) of unresolved buckets, from blocks of bounded size.
 
     A bucket of more than a block is dealt into blocks, and each pair of blocks is compared in a task of its own.
     """
-    kind = field_type(sets, "key")
     sizes = groups.groupBy("bucket").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.lit(1)
         ).alias("blocks")
     )
-    own, other = F.pmod(F.xxhash64("key"), F.col("blocks")), F.col("other")
+    own, other = F.pmod(F.xxhash64("node"), F.col("blocks")), F.col("other")
     rows = (
         groups.join(sizes, "bucket")
-        .select("bucket", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("bucket", "key", F.least("own", other).alias("first"), F.greatest("own", other).alias("second"))
-        .join(sets, "key")
+        .select("bucket", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("bucket", "node", F.least("own", other).alias("first"), F.greatest("own", other).alias("second"))
+        .join(sets, "node")
     )
 
     def find(table: pa.Table) -> pa.Table:
-        keys = table.column("key").combine_chunks()
+        nodes = table.column("node").combine_chunks()
         links = block_links(_sets(table.column("shingles")), similarity)
         ends = [pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)]
-        return pa.table({"center": keys.take(ends[0]), "key": keys.take(ends[1])})
+        return pa.table({"center": nodes.take(ends[0]), "node": nodes.take(ends[1])})
+
+    return rows.groupBy("bucket", "first", "second").applyInArrow(find, "center bigint, node bigint")
+
+
+def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the label of the node in ``column``; a node without one is its own label."""
+    own = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    return rows.join(own, F.col(column) == F.col("_node"), "left").select(
+        *rows.columns, F.coalesce("_label", F.col(column)).alias(name)
+    )
+
 
-    return rows.groupBy("bucket", "first", "second").applyInArrow(find, f"center {kind}, key {kind}")
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links (center, node): components of the labels that the links connect."""
+    between = _labelled(_labelled(links, "center", labels, "a"), "node", labels, "b").select("a", "b")
+    more = components(between.filter(F.col("a") != F.col("b")))
+    moved = _labelled(labels, "label", more, "_now").select("node", F.col("_now").alias("label"))
+    return stage(moved.union(more.join(labels, "node", "left_anti").select("node", "label")), "near-labels")
+
+
+def class_edges(buckets: DataFrame) -> DataFrame:
+    """(node, centers) of the members (bucket, node, center) of all buckets: a member's distinct centers, one a band at most."""
+    return buckets.groupBy("node").agg(F.collect_set("center").alias("centers"))
 
 
 def near_duplicates(
@@ -227,56 +253,75 @@ def near_duplicates(
 ) -> DataFrame:
     """Key, n_shingles, component_id (least key reachable over links) and ``kept`` of every document.
 
-    1. Documents with one and the same set form a class with its least key as representative, so copies never
-       meet in a bucket. 2. Representatives meet in buckets of their bands; a bucket proposes a star: an edge from its
-       least key to each other member, so edges never outnumber bucket rows. 3. Edges are confirmed on whole sets,
-       and connected. 4. Where a bucket still holds several components, its other members are compared block
-       by block inside tasks, again on whole sets; a block returns a spanning forest, so links that
-       bypass the star are found without listing pairs. Components follow from both kinds of edges.
-
-    A text without words (null, empty, blank) has no shingles and is linked with nothing. Repeated rows
-    count as one document, and each gets its result. A null key is linked with nothing and kept, with a null component.
+    1. Documents with one and the same set form a class, so copies never meet in a bucket. 2. Classes meet in buckets of
+    their bands; a bucket proposes a star: an edge from its least class to each other member, so edges never outnumber
+    bucket rows. 3. Edges are confirmed on whole sets: first that to a member's least center, which connects
+    most groups; then, of its other centers, only those that are still in another component. 4. Where a bucket still
+    holds several components, its other members are compared block by block inside tasks, again on whole
+    sets; a block returns a spanning forest, so links that bypass the star are found without listing pairs.
+    Components follow from all confirmed edges.
+
+    A text without words (null, empty, blank) has no shingles and is linked with nothing. Repeated rows count as one
+    document, and each gets its result. Rows that share a key but not a text count each with their own text. A null key is
+    linked with nothing and kept, with a null component.
     """
     kind = field_type(df, key)
     prints = stage(shingle_prints(df, text, key, bands, rows), "near-prints")
     some = prints.filter(F.col("print").isNotNull() & F.col("key").isNotNull())
-    classes = some.groupBy("print").agg(F.min("key").alias("rep"))
-    placed = (
-        some.join(classes, "print")
-        .filter(F.col("key") == F.col("rep"))
-        .select("key", "n_shingles", F.explode("buckets").alias("bucket"))
+    # Copies have one set, hence one and the same list of buckets. A class has the number of its staged row.
+    copies = some.groupBy("print").agg(
+        F.min("key").alias("rep"),
+        F.count(F.lit(1)).alias("copies"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("buckets").alias("buckets"),
     )
-    stars = placed.groupBy("bucket").agg(F.min("key").alias("center"), F.max("key").alias("_last"))
+    classes = stage(copies.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    placed = classes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
+    stars = placed.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("_last"))
     stars = stars.filter(F.col("center") != F.col("_last")).drop("_last")
-    buckets = stage(placed.join(stars, "bucket").filter(F.col("key") != F.col("center")), "near-buckets")
-    edges = buckets.select("center", "key").distinct()
-    wanted = buckets.select("key").union(buckets.select("center")).distinct()
-    sets = stage(_set_table(df.filter(F.col(f"`{key}`").isNotNull()), wanted, text, key).dropDuplicates(["key"]), "near-sets")
-    confirmed = stage(_confirm(edges, sets, similarity), "near-edges")
-    ends = confirmed.select(F.col("center").alias("a"), F.col("key").alias("b"))
-    labels = components(ends)
-
-    label = F.coalesce("label", "key")
-    members = buckets.join(labels, F.col("key") == F.col("node"), "left").select("bucket", "key", "n_shingles", label.alias("label"))
+    buckets = stage(placed.join(stars, "bucket").filter(F.col("node") != F.col("center")), "near-buckets")
+    edges = stage(class_edges(buckets), "near-centers")
+    wanted = buckets.select("node").union(buckets.select("center")).distinct()
+    wanted = classes.select("rep", "print", "node").join(wanted, "node", "left_semi")
+    sets = stage(_set_table(df.filter(F.col(f"`{key}`").isNotNull()), wanted, text, key), "near-sets")
+
+    nearest = edges.select(F.array_min("centers").alias("center"), "node")
+    confirmed = stage(_confirm(nearest, sets, similarity), "near-edges")
+    labels = components(confirmed.select(F.col("center").alias("a"), F.col("node").alias("b")))
+    others = edges.select("node", F.explode(F.filter("centers", lambda c: c != F.array_min("centers"))).alias("center"))
+    apart = _labelled(_labelled(others, "center", labels, "a"), "node", labels, "b").filter(F.col("a") != F.col("b"))
+    second = stage(_confirm(apart.select("center", "node"), sets, similarity), "near-edges")
+    if not second.isEmpty():
+        labels = _merged(labels, second)
+
+    members = _labelled(buckets.select("bucket", "node", "n_shingles"), "node", labels, "label")
     open_buckets = (
         members.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("who"), F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            *[F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"who{i}") for i in range(2)],
+            F.count(F.lit(1)).alias("n"),
+        )
         .filter(F.col("low") != F.col("high"))
-        # Buckets of the same members need one comparison.
-        .groupBy("who", "n")
+        # Buckets of the same members need one comparison; two sums of 64-bit hashes and the number tell them apart.
+        .groupBy("who0", "who1", "n")
         .agg(F.min("bucket").alias("bucket"))
     )
-    groups = members.join(open_buckets.select("bucket"), "bucket", "left_semi").select("bucket", "key", "n_shingles")
+    groups = members.join(open_buckets.select("bucket"), "bucket", "left_semi").select("bucket", "node", "n_shingles")
     more = stage(_resolve(groups, sets, similarity), "near-more")
     if not more.isEmpty():
-        labels = components(ends.union(more.select(F.col("center").alias("a"), F.col("key").alias("b"))))
-
-    final = (
-        prints.select("key", "n_shingles", "print")
-        .join(classes, "print", "left")
-        .join(labels, F.col("rep") == F.col("node"), "left")
+        labels = _merged(labels, more)
+
+    # Copies and components may hold most documents, so results come back by a lookup that spreads hot keys.
+    tops = _labelled(classes.select("node", "print", "rep", "copies"), "node", labels, "label")
+    least = stage(tops.groupBy("label").agg(F.min("rep").alias("component"), F.count(F.lit(1)).alias("n")), "near-least")
+    found = spread_lookup(tops, F.col("label"), least, "label", "n", F.xxhash64("node"), ("component",))
+    of_class = stage(found.select("print", "copies", "component"), "near-components")
+    final = spread_lookup(
+        prints.select("key", "n_shingles", "print"), F.col("print"), of_class, "print", "copies", F.xxhash64("key"), ("component",)
     )
-    component = F.when(F.col("key").isNotNull(), F.coalesce("label", "rep", "key")).cast(kind)
+    component = F.when(F.col("key").isNotNull(), F.coalesce("component", "key")).cast(kind)
     return final.select(
         F.col("key").alias(key),
         "n_shingles",
@@ -286,6 +331,9 @@ def near_duplicates(
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", **parameters) -> DataFrame:
-    """The rows of ``df`` whose document stands for its component; rows without a key stay."""
-    gone = near_duplicates(df, text, key, **parameters).filter(~F.col("kept")).select(key)
-    return df.join(gone, key, "left_anti")
+    """The rows of ``df`` whose document stands for its component; rows without a key stay.
+
+    Rows that share a key but not a text stay or go together: they stay if one of their texts does.
+    """
+    verdicts = near_duplicates(df, text, key, **parameters).groupBy(f"`{key}`").agg(F.max("kept").alias("kept"))
+    return df.join(verdicts.filter(~F.col("kept")).select(key), key, "left_anti")

@@ -199,6 +199,58 @@ def test_components_of_a_path(spark):
     assert got == {**dict.fromkeys(range(61), 0), 100: 100}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_components_of_any_graph(spark, seed):
+    r = random.Random(seed)
+    n = 120
+    edges = [(r.randrange(n), r.randrange(n)) for _ in range((40, 90, 130, 240)[seed])] + [(n, i) for i in range(0, n, 7)]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    got = {x.node: x.label for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {x: find(x) for x in parent}
+
+
+def test_near_copies_have_few_edges(spark, monkeypatch):
+    """A thousand near copies of one text: below two confirmed edges a member, one component, no block comparison."""
+    r = random.Random(9)
+    base = prose(r, 200).split(" ")
+    rows = []
+    for i in range(1_000):
+        own = base.copy()
+        own[r.randrange(len(own))] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    confirm, seen = near_dedup._confirm, []
+
+    def counted(edges, sets, similarity):
+        seen.append(edges.count())
+        return confirm(edges, sets, similarity)
+
+    monkeypatch.setattr(near_dedup, "_confirm", counted)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {x.component_id for x in got} == {0} and sum(x.kept for x in got) == 1
+    assert sum(seen) < 2 * len(rows)
+
+
+def test_rows_of_one_key_and_different_texts(spark):
+    """Each row counts with its own text, on every run."""
+    r = random.Random(10)
+    one, two = prose(r, 40), prose(r, 40)
+    rows = [(5, one), (5, two), (5, two), (3, one + " end"), (9, two + " end"), (2, None), (2, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = collections.Counter((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in near_dedup.near_duplicates(df).collect())
+    assert got == {(5, 36, 3, False): 1, (5, 36, 5, True): 2, (3, 37, 3, True): 1, (9, 37, 5, False): 1, (2, 0, 2, True): 1, (2, 1, 2, True): 1}
+    kept = near_dedup.drop_near_duplicates(df).collect()
+    assert sorted(x.doc_id for x in kept) == [2, 2, 3, 5, 5, 5]
+
+
 def test_signature_of_few_shingles_is_dense():
     one = near_dedup.signature(np.array([5], np.uint64), 384)
     assert len(set(one.tolist())) == 1
