@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,10 @@ from pyspark.sql import functions as F
 from pledgekit.llm.text import field_type
 from pledgekit.runtime import stage
 
-# Words of a text whose A-Z are lower case, phrases and their labels, and the least containment in percent.
+# Words of a text whose A-Z are lower case, what separates them, phrases and their labels, and the least
+# containment in percent.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 CONTAINMENT = 90
@@ -62,12 +66,16 @@ TEMPLATES = (
 
 
 def lowered(text: str) -> Column:
-    return F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), UPPER, LOWER)
+    """The text in lower case, as far as words of ASCII letters and digits are concerned.
+
+    The Kelvin sign is the one other character that becomes such a letter; it stays a character of its own.
+    """
+    return F.lower(F.replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit("\u212a"), F.lit("\u00e6")))
 
 
-def words_of(text: str) -> Column:
-    """The words of a text in order; a null text has none."""
-    return F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0))
+def words_of(low: str) -> Column:
+    """The words of a lowered text in order."""
+    return F.array_remove(F.split(low, BETWEEN, -1), "")
 
 
 def phrase_starts(words: str, phrase: str) -> Column:
@@ -84,11 +92,13 @@ def phrase_starts(words: str, phrase: str) -> Column:
 
 
 def token_order(df: DataFrame, text: str, vocabulary: tuple[str, ...]) -> list[str]:
-    """The vocabulary from rare to frequent over all texts, ties by word.
+    """The vocabulary from rare to frequent by the number of texts that hold a word, ties by word.
 
     Tasks count before anything is shuffled, and only the vocabulary's counts (a parameter) reach the driver.
     """
-    seen = df.select(F.explode(words_of(text)).alias("w")).filter(F.col("w").isin(*vocabulary)).groupBy("w").count()
+    held = F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), "_words")
+    words = df.select(lowered(text).alias("_low")).select(words_of("_low").alias("_words"))
+    seen = words.select(F.explode(held).alias("w")).groupBy("w").count()
     counts = {r.w: r["count"] for r in seen.collect()}
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
@@ -143,15 +153,23 @@ def scan_table(
     """``at`` (a row's number), ``id``, ``n_words``, phrase places and candidate blocks of every row; and the token order."""
     order = token_order(df, text, tuple(sorted({w for t in templates for w in t.words})))
     rare = _prefix(templates, order, percent)
-    # One projection per step: what a later step names several times is then computed once.
-    words = df.select(F.col(f"`{key}`").alias("id"), words_of(text).alias("_words"))
+    # One projection per step: what a later step names several times is then computed once. Words are looked at one by
+    # one only in texts that hold a rare word, and for a phrase only in texts that hold the letters of all its words.
+    low = df.select(F.col(f"`{key}`").alias("id"), lowered(text).alias("_low"))
+    words = low.select("*", words_of("_low").alias("_words"))
+    marked = F.transform("_words", lambda w, i: F.when(w.isin(*rare), F.struct(i.alias("i"), w.alias("w"))))
+    some = F.arrays_overlap("_words", F.array(*[F.lit(w) for w in rare]))
+    none = F.array().cast("array<struct<i:int,w:string>>")
     found = words.select(
         "*",
-        F.filter(
-            F.transform("_words", lambda w, i: F.when(w.isin(*rare), F.struct(i.alias("i"), w.alias("w")))), lambda x: x.isNotNull()
-        ).alias("_rare"),
-        *[phrase_starts("_words", p).alias(f"_p{k}") for k, p in enumerate(PHRASES)],
-    )
+        F.when(some, F.filter(marked, lambda x: x.isNotNull())).otherwise(none).alias("_rare"),
+        *[
+            F.when(
+                reduce(and_, [F.col("_low").contains(w) for w in p.split()]), phrase_starts("_words", p)
+            ).otherwise(F.array().cast("array<int>")).alias(f"_p{k}")
+            for k, p in enumerate(PHRASES)
+        ],
+    )
     starts = [F.col(f"_p{k}") for k in range(len(PHRASES))]
     named = [F.when(F.size(s) > 0, F.lit(label)) for s, label in zip(starts, PHRASES.values(), strict=True)]
     table = found.select(

@@ -49,7 +49,7 @@ def rows():
 
     out = [(None, "Licensed under the MIT license"), (None, None), (1, None), (2, ""), (3, " .,-\n\x7f"), (4, "All rights; RESERVED!")]
     out += [(5, "CC-BY"), (5, "cc by"), (5, "cc by"), (6, "all rights all rights reserved reserved cc cc by by CC BY NC 4.0 licensed"),
-            (7, "GNU General Public License"), (8, "general public license " * 400), (9, "é ccéby ＣＣ by"), (10, "MIT license " * 900)]
+            (7, "GNU General Public License"), (8, "general public license " * 400), (9, "é ccéby ＣＣ by"), (11, "\u212aey \u0130n CC\u0000By MIT\u212a MIT licen\u017fe"), (12, "released under the m\u0130t license Cc  bY"), (10, "MIT license " * 900)]
     for i, t in enumerate(scan.TEMPLATES):
         own = t.text.split()
         out.append((100 + i, " ".join(prose(r.randrange(40)) + own + prose(20))))
