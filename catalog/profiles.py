@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from catalog.fixture import campaigns, featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
 from pledgekit.functions.columns import rows_of
-from pledgekit.operators import quality, ranking, reports
-from pledgekit.plans.campaigns import clean
-from pledgekit.runtime import stage
+from pledgekit.operators import quality, ranking, reports, sketches
+from pledgekit.plans import profile
+from pledgekit.plans.campaigns import clean, featurise
+from pledgekit.runtime import fresh_path, stage
 from pledgekit.sources.tables import CAMPAIGN_SCHEMA, preview as first_rows
 from pledgekit.spec import ENGINEERED, CampaignSpec, FeatureSpec
 
@@ -221,6 +222,86 @@ def approx_quantiles(spark, sf_dir):
     return _within(rows, [(r["column"], r["probability"], r["value"]) for r in found])
 
 
+@register(
+    "merged_quantiles",
+    with_campaigns()
+    + _union(
+        [
+            f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS probability, TRUE AS within_error, COUNT({c}) AS n, TRUE AS same_sketches
+                FROM feat"""
+            for c in SPEC.amounts
+            for p in QUARTILES
+        ]
+    ),
+)
+def merged_quantiles(spark, sf_dir):
+    """Quartiles merged from one sketch per launch year, the last year's added to those of the others."""
+    rows = stage(featured(spark, sf_dir).select("launched_year", *SPEC.amounts), "sketch-input")
+    path = fresh_path(spark, "sketches")
+    last = rows.agg(F.max("launched_year")).first()[0]
+    for part in (rows.filter(F.col("launched_year") < last), rows.filter(F.col("launched_year") == last)):
+        made = sketches.quantile_sketches(part, SPEC.amounts, "launched_year", SKETCH_ERROR)
+        sketches.write_sketches(made, path, "launched_year")
+    kept = spark.read.schema(made.schema).parquet(path)
+    found = sketches.merged_quantiles(kept, QUARTILES).collect()
+    years = rows.select("launched_year").distinct().count()
+    per = kept.groupBy("column").agg(F.sum("n").alias("n"), (F.count(F.lit(1)) == years).alias("same_sketches"))
+    return _within(rows, [(r["column"], r["probability"], r["value"]) for r in found]).join(per, "column")
+
+
+def _long_sql(report: str, item: str, measures: tuple[str, ...], sql: str) -> str:
+    body = sql.removeprefix(with_campaigns())
+    return _union(
+        [
+            f"""SELECT '{report}' AS report, CAST("{item}" AS VARCHAR) AS item, '{m}' AS measure, CAST("{m}" AS DOUBLE) AS value
+                FROM ({body}) AS {report}"""
+            for m in measures
+        ]
+    )
+
+
+SUMMARY = ("count", "mean", "stddev", "min", "max")
+
+
+@register(
+    "profile_on_write",
+    with_campaigns(
+        """counts AS (SELECT (SELECT COUNT(*) FROM campaigns) AS c0, (SELECT COUNT(*) FROM kept) AS c1,
+           (SELECT COUNT(*) FROM complete) AS c2, (SELECT COUNT(*) FROM clean) AS c3)"""
+    )
+    + _union(
+        [
+            "SELECT 'shape_check' AS report, CAST(COUNT(*) AS VARCHAR) AS item, 'n_cols' AS measure, CAST(15 AS DOUBLE) AS value FROM campaigns",
+            _long_sql("null_profile", "column", ("nulls", "pct", "nans"), _nulls_sql("campaigns", RAW, nan=True)),
+            _long_sql("numeric_summary", "column", SUMMARY, _summary_sql("campaigns", SPEC.amounts)),
+            _long_sql("feature_nulls", "column", ("nulls", "pct"), _nulls_sql("feat", ENGINEERED)),
+            _long_sql("feature_ranges", "column", SUMMARY, _summary_sql("feat", NUMERIC_FEATURES)),
+            *[
+                f"SELECT 'stage_audit', '{i}', '{m}', round(CAST({v} AS DOUBLE), 6) FROM counts"
+                for i in (1, 2, 3)
+                for m, v in (
+                    ("before", f"c{i - 1}"),
+                    ("after", f"c{i}"),
+                    ("removed", f"c{i - 1} - c{i}"),
+                    ("pct", f"(c{i - 1} - c{i}) / c{i - 1} * 100"),
+                )
+            ],
+        ]
+    ),
+)
+def profile_on_write(spark, sf_dir):
+    """All reports that ride on the writes of the raw and the featured table, in long form."""
+    raw = profile.stage_profiled(spark, lambda session: campaigns(session, sf_dir), "profile-raw", profile.raw_measures)
+    derived = profile.stage_profiled(
+        spark, lambda session: raw.read(session).transform(clean).transform(featurise), "profile-featured", profile.feature_measures
+    )
+    parts = [profile.long_report(name, report) for name, report in (raw.reports | derived.reports).items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return rounded(out, "value")
+
+
 POINTS = (0.25, 0.5, 0.75)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -32,16 +33,34 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100)
 
 
-def shape_check(df: DataFrame, expected_rows: int | None, expected_columns: Sequence[str]) -> DataFrame:
-    """One row: sizes found, and whether they are the ones expected."""
+@dataclass(frozen=True)
+class Measures:
+    """A report as named aggregates of a table, and as a table made of the one row that they give.
+
+    The row may come from a pass of its own (``report``) or from a pass that writes the table (``pledgekit.plans.profile``).
+    """
+
+    columns: tuple[Column, ...]
+    table: Callable[[DataFrame], DataFrame]
+
+    def report(self, df: DataFrame) -> DataFrame:
+        return self.table(df.agg(*self.columns))
+
+
+def shape_measures(df: DataFrame, expected_rows: int | None, expected_columns: Sequence[str]) -> Measures:
     names_ok = list(df.columns) == list(expected_columns)
     rows_ok = F.lit(True) if expected_rows is None else F.col("n_rows") == expected_rows
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "n_rows",
-        F.lit(len(df.columns)).alias("n_cols"),
-        rows_ok.alias("rows_ok"),
-        F.lit(names_ok).alias("cols_ok"),
-    )
+    width = len(df.columns)
+
+    def table(row: DataFrame) -> DataFrame:
+        return row.select("n_rows", F.lit(width).alias("n_cols"), rows_ok.alias("rows_ok"), F.lit(names_ok).alias("cols_ok"))
+
+    return Measures((F.count(F.lit(1)).alias("n_rows"),), table)
+
+
+def shape_check(df: DataFrame, expected_rows: int | None, expected_columns: Sequence[str]) -> DataFrame:
+    """One row: sizes found, and whether they are the ones expected."""
+    return shape_measures(df, expected_rows, expected_columns).report(df)
 
 
 def assert_shape(df: DataFrame, expected_rows: int | None, expected_columns: Sequence[str]) -> DataFrame:
@@ -54,18 +73,16 @@ def assert_shape(df: DataFrame, expected_rows: int | None, expected_columns: Seq
     return df
 
 
-def null_profile(df: DataFrame, columns: Sequence[str] | None = None, with_nan: bool = False) -> DataFrame:
-    """Nulls per column, in rows and percent; optionally NaN apart from null."""
+def null_measures(df: DataFrame, columns: Sequence[str] | None = None, with_nan: bool = False) -> Measures:
     names = list(columns or df.columns)
     require_columns(df, names)
     nulls = [_flagged(quoted(c).isNull()).alias(f"_null{i}") for i, c in enumerate(names)]
     nans = []
     if with_nan:
         nans = [
-            (_flagged(F.isnan(quoted(c))) if _is_floating(df, c) else F.lit(0).cast("bigint")).alias(f"_nan{i}")
+            (_flagged(F.isnan(quoted(c))) if _is_floating(df, c) else F.count_if(F.lit(False))).alias(f"_nan{i}")
             for i, c in enumerate(names)
         ]
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *nulls, *nans)
     entries = []
     for i, c in enumerate(names):
         entry = {
@@ -76,11 +93,15 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None, with_nan:
         if with_nan:
             entry["nans"] = F.col(f"_nan{i}")
         entries.append(entry)
-    return row.select(F.inline(rows_of(entries)))
+    return Measures((F.count(F.lit(1)).alias("_n"), *nulls, *nans), lambda row: row.select(F.inline(rows_of(entries))))
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Typed count, mean, sample deviation, minimum and maximum per column, in one pass."""
+def null_profile(df: DataFrame, columns: Sequence[str] | None = None, with_nan: bool = False) -> DataFrame:
+    """Nulls per column, in rows and percent; optionally NaN apart from null."""
+    return null_measures(df, columns, with_nan).report(df)
+
+
+def summary_measures(df: DataFrame, columns: Sequence[str]) -> Measures:
     require_columns(df, columns)
     measures = {
         "count": lambda c: F.count(c),
@@ -89,17 +110,18 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "min": lambda c: F.min(c),
         "max": lambda c: F.max(c),
     }
-    row = df.agg(
-        *[
-            f(quoted(c).cast("double")).alias(f"_{m}{i}")
-            for i, c in enumerate(columns)
-            for m, f in measures.items()
-        ]
-    )
+    aggregates = [
+        f(quoted(c).cast("double")).alias(f"_{m}{i}") for i, c in enumerate(columns) for m, f in measures.items()
+    ]
     entries = [
         {"column": F.lit(c), **{m: F.col(f"_{m}{i}") for m in measures}} for i, c in enumerate(columns)
     ]
-    return row.select(F.inline(rows_of(entries)))
+    return Measures(tuple(aggregates), lambda row: row.select(F.inline(rows_of(entries))))
+
+
+def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Typed count, mean, sample deviation, minimum and maximum per column, in one pass."""
+    return summary_measures(df, columns).report(df)
 
 
 def range_violations(df: DataFrame, rules: Mapping[str, tuple[float, float]]) -> DataFrame:
@@ -150,8 +172,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def stage_audit(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> DataFrame:
-    """Rows before and after each cleaning step, all steps counted in one pass over the raw table."""
+def audit_measures(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> Measures:
     has_outcome = has_final_state(spec)
     filled = complete(df.schema, spec.critical)
     dated = reduce(and_, [c.isNotNull() for c in date_columns(spec).values()])
@@ -160,10 +181,10 @@ def stage_audit(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> DataFrame
         ("complete", has_outcome & filled),
         ("dated", has_outcome & filled & dated),
     ]
-    row = df.agg(
+    aggregates = [
         F.count(F.lit(1)).alias("_after0"),
         *[_flagged(cond).alias(f"_after{i}") for i, (_, cond) in enumerate(stages, 1)],
-    )
+    ]
     entries = []
     for i, (name, _) in enumerate(stages, 1):
         before, after = F.col(f"_after{i - 1}"), F.col(f"_after{i}")
@@ -177,7 +198,12 @@ def stage_audit(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> DataFrame
                 "pct": _percent(before - after, before),
             }
         )
-    return row.select(F.inline(rows_of(entries)))
+    return Measures(tuple(aggregates), lambda row: row.select(F.inline(rows_of(entries))))
+
+
+def stage_audit(df: DataFrame, spec: CampaignSpec = CampaignSpec()) -> DataFrame:
+    """Rows before and after each cleaning step, all steps counted in one pass over the raw table."""
+    return audit_measures(df, spec).report(df)
 
 
 def class_balance(df: DataFrame, label: str = "label", split: str | None = None) -> DataFrame:
@@ -207,13 +233,19 @@ def quantiles(
 
 
 def iqr_outliers(
-    df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, relative_error: float = 0.01
+    df: DataFrame,
+    columns: Sequence[str],
+    multiplier: float = 1.5,
+    relative_error: float = 0.01,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     """Quartiles, bounds and rows outside them per column; a report only, no row is dropped.
 
-    One pass for the quartiles of all columns, one for all the counts.
+    One pass for the quartiles of all columns, one for all the counts. ``edges`` (column, probability, value) gives
+    quartiles that are known, such as those of merged sketches, which spares the first pass.
     """
-    edges = quantiles(df, columns, [0.25, 0.75], relative_error)
+    if edges is None:
+        edges = quantiles(df, columns, [0.25, 0.75], relative_error)
     # One row per profiled column, folded into a single-row lookup.
     lookup = (
         edges.groupBy("column")

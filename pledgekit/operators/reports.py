@@ -91,6 +91,7 @@ def regression_results(scored: DataFrame, key: str = "ID", amount: str = "pledge
 
 
 def _measures() -> dict[str, Column]:
+    """The headline figures."""
     return {
         "campaigns": F.count(F.lit(1)),
         "success_rate": F.avg("label"),
@@ -162,53 +163,65 @@ def cluster_dashboard(clustered: DataFrame, per_decade: int = 4) -> DataFrame:
     )
 
 
-def dashboard(df: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
-    """Overall figures and every one-dimension breakdown in long form: (section, item, measure, value).
+def _sections(
+    df: DataFrame, keys: Mapping[str, Column], sections: Mapping[str, tuple[Sequence[str], Sequence[str]]]
+) -> DataFrame:
+    """Breakdowns as (section, item, measure, value), all from one pass over the table.
 
-    Grouping sets compute all breakdowns in one pass over the table.
+    ``keys`` names grouping columns, ``sections`` the (keys, measures) of each breakdown. Rows are narrowed to keys and
+    measured columns, expanded once per section, and added up per task before they are shuffled.
     """
+    measures = _measures() | {"avg_backers": F.avg("backers")}
+    used = {m for _, shown in sections.values() for m in shown}
     frame = df.select(
-        *[quoted(d).cast("string").alias(d) for d in dimensions],
+        *[k.cast("string").alias(n) for n, k in keys.items()],
         "label",
         "usd_pledged_real",
         "usd_goal_real",
         "backers",
         "funding_ratio",
     )
-    measures = _measures()
-    sets = [[]] + [[d] for d in dimensions]
-    grouped = frame.groupingSets(sets, *dimensions).agg(
-        *[m.cast("double").alias(n) for n, m in measures.items()],
-        *[F.grouping(d).alias(f"_g{i}") for i, d in enumerate(dimensions)],
+    names = list(keys)
+    grouped = frame.groupingSets([list(own) for own, _ in sections.values()], *names).agg(
+        *[m.cast("double").alias(n) for n, m in measures.items() if n in used], F.grouping_id(*names).alias("_set")
     )
-    section, item = F.lit("overview"), F.lit("all")
-    for i, d in enumerate(dimensions):
-        section = F.when(F.col(f"_g{i}") == 0, d).otherwise(section)
-        item = F.when(F.col(f"_g{i}") == 0, F.col(d)).otherwise(item)
-    entries = [{"measure": F.lit(n), "value": F.col(n)} for n in measures]
-    return grouped.select(section.alias("section"), item.alias("item"), F.inline(rows_of(entries)))
-
-
-def _long(section: str, table: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """A small report in the dashboard's long form; the item joins the keys, a missing one shows as ``none``."""
-    item = F.concat_ws("/", *[F.coalesce(quoted(k).cast("string"), F.lit("none")) for k in keys])
-    entries = [{"measure": F.lit(m), "value": quoted(m).cast("double")} for m in measures]
-    return table.select(F.lit(section).alias("section"), item.alias("item"), F.inline(rows_of(entries)))
-
-
-def whole_dashboard(df: DataFrame, clustered: DataFrame | None = None) -> DataFrame:
-    """``dashboard`` with month by category, the density of goal against pledged, and, of clustered rows, of clusters."""
-    bins = ["goal_bin", "pledged_bin"]
-    out = dashboard(df)
-    parts = [
-        _long("month_category", success_by(df, "launch_month", "main_category"), ["launch_month", "main_category"], ["campaigns", "success_rate"]),
-        _long("goal_vs_pledged", goal_vs_pledged(df), [*bins, "state"], ["campaigns"]),
-    ]
-    if clustered is not None:
-        parts.append(_long("clusters", cluster_dashboard(clustered), ["cluster", *bins], ["campaigns", "avg_backers"]))
-    for part in parts:
-        out = out.unionByName(part)
-    return out
+    section, item, entries = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None)
+    for name, (own, shown) in sections.items():
+        here = F.col("_set") == sum(1 << (len(names) - 1 - i) for i, n in enumerate(names) if n not in own)
+        # A breakdown by one column keeps a missing key as null, in joined keys it shows as ``none``.
+        joined = F.concat_ws("/", *[F.coalesce(F.col(k), F.lit("none")) for k in own])
+        section = F.when(here, F.lit(name)).otherwise(section)
+        item = F.when(here, F.lit("all") if not own else F.col(own[0]) if len(own) == 1 else joined).otherwise(item)
+        shown_here = rows_of([{"measure": F.lit(m), "value": F.col(m)} for m in shown])
+        entries = F.when(here, shown_here).otherwise(entries)
+    return grouped.select(section.alias("section"), item.alias("item"), F.inline(entries))
+
+
+def dashboard(df: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
+    """Overall figures and every one-dimension breakdown in long form: (section, item, measure, value)."""
+    every = tuple(_measures())
+    sections = {"overview": ((), every), **{d: ((d,), every) for d in dimensions}}
+    return _sections(df, {d: quoted(d) for d in dimensions}, sections)
+
+
+def whole_dashboard(df: DataFrame, clustered: bool = False, per_decade: int = 4) -> DataFrame:
+    """``dashboard`` with month by category, the density of goal against pledged, and, of ``clustered`` rows, of clusters.
+
+    All sections are grouping sets of one aggregate, so the campaigns are read once.
+    """
+    every = tuple(_measures())
+    keys = {d: quoted(d) for d in DIMENSIONS}
+    keys |= {"goal_bin": log_bin(quoted("goal"), per_decade), "pledged_bin": log_bin(quoted("pledged"), per_decade), "state": quoted("state")}
+    sections = {
+        "overview": ((), every),
+        **{d: ((d,), every) for d in DIMENSIONS},
+        "month_category": (("launch_month", "main_category"), ("campaigns", "success_rate")),
+        "goal_vs_pledged": (("goal_bin", "pledged_bin", "state"), ("campaigns",)),
+    }
+    if clustered:
+        keys |= {"cluster": quoted("cluster"), "usd_bin": log_bin(quoted("usd_pledged_real"), per_decade)}
+        sections["clusters"] = (("cluster", "goal_bin", "usd_bin"), ("campaigns", "avg_backers"))
+    return _sections(df, keys, sections)
 
 
 def run_facts(featured: DataFrame, raw: DataFrame, seed: int, label: str = "label") -> DataFrame:

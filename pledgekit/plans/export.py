@@ -1,4 +1,4 @@
-"""Write every result table of a run under one folder."""
+"""Publish every result table of a run as one version."""
 
 from __future__ import annotations
 
@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame
 from pledgekit.operators import evaluation, quality, reports
 from pledgekit.plans.segmentation import Segments
 from pledgekit.plans.supervised import Supervised
-from pledgekit.sources.tables import write_csv, write_json
-from pledgekit.spec import ENGINEERED, CampaignSpec
+from pledgekit.sources.publication import Publication
 
 CLASSIFIER_METRICS = ("model", "accuracy", "f1", "auc", "precision", "recall", "tp", "tn", "fp", "fn")
 
@@ -37,29 +36,27 @@ def result_tables(supervised: Supervised, segments: Segments) -> tuple[dict[str,
     return large, small
 
 
-def quality_tables(raw: DataFrame, featured: DataFrame, spec: CampaignSpec = CampaignSpec()) -> dict[str, DataFrame]:
-    """What a run found about its data, by name; ``featured`` carries ``split``."""
-    return {
-        "null_profile": quality.null_profile(raw, with_nan=True),
-        "feature_nulls": quality.null_profile(featured, ENGINEERED),
-        "numeric_summary": quality.numeric_summary(raw, spec.amounts),
-        "duplicate_keys": quality.duplicate_keys(raw, spec.key),
-        "state_counts": quality.value_counts(raw, spec.state),
-        "stage_audit": quality.stage_audit(raw, spec),
-        "class_balance": quality.class_balance(featured, split="split"),
-        "outliers": quality.iqr_outliers(featured, spec.amounts),
-    }
+def add_results(out: Publication, supervised: Supervised, segments: Segments, single_files: bool = True) -> list[str]:
+    """Write CSV folders for all tables and JSON for the dashboard into a publication; returns the paths.
+
+    Per-campaign tables are always written in parallel; ``single_files`` concerns the reports only.
+    """
+    large, small = result_tables(supervised, segments)
+    paths = [out.add(name, df) for name, df in large.items()]
+    paths += [out.add(name, df, single_file=single_files) for name, df in small.items()]
+    dashboard = reports.whole_dashboard(segments.enriched, clustered=True)
+    paths.append(out.add("dashboard_data", dashboard, "json", partition_by=["section"]))
+    return paths
 
 
 def export(supervised: Supervised, segments: Segments, folder: str, single_files: bool = True) -> list[str]:
-    """CSV folders for all tables and JSON for the dashboard; returns the paths.
+    """Publish all result tables under ``folder`` as one new version; returns the paths.
 
-    Per-campaign tables are always written in parallel; ``single_files`` concerns the reports only.
+    Readers go by ``pledgekit.sources.publication.read_published`` and see all old tables or all new ones.
     """
-    large, small = result_tables(supervised, segments)
-    paths = [write_csv(df, f"{folder}/{name}") for name, df in large.items()]
-    paths += [write_csv(df, f"{folder}/{name}", single_files) for name, df in small.items()]
-    paths.append(write_json(reports.whole_dashboard(segments.enriched, segments.enriched), f"{folder}/dashboard_data", ["section"]))
+    out = Publication(segments.enriched.sparkSession, folder)
+    paths = add_results(out, supervised, segments, single_files)
+    out.commit()
     return paths
 
 

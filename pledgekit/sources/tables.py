@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pledgekit.functions.columns import quoted
-from pledgekit.runtime import require_columns
+from pledgekit.runtime import require_columns, stage
 
 # The published source schema, in file order.
 CAMPAIGN_SCHEMA = T.StructType(
@@ -110,6 +111,59 @@ def malformed_count(scanned: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Records:
+    """The records of a scan: all of them, those to work with, and those set aside with the reason."""
+
+    everything: DataFrame
+    accepted: DataFrame
+    rejected: DataFrame
+
+
+def mark_records(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    critical: Sequence[str],
+    schema: T.StructType = CAMPAIGN_SCHEMA,
+    **options,
+) -> DataFrame:
+    """Parse CSV, and tell unreadable records (``status``, ``reason``, the text in ``_corrupt_record``) from the rest.
+
+    A record is rejected if the parser could not read it whole and one of its ``critical`` columns has no value; the
+    reason names these columns. A record that is odd elsewhere only is accepted with null there, and one
+    whose critical value is just missing is left to cleaning.
+    """
+    scanned = scan_csv(spark, path, schema, keep_corrupt=True, **options)
+    require_columns(scanned, critical)
+    missing = F.array_compact(F.array(*[F.when(quoted(c).isNull(), F.lit(c)) for c in critical]))
+    bad = quoted(CORRUPT).isNotNull() & (F.size(missing) > 0)
+    return scanned.withColumns(
+        {
+            "reason": F.when(bad, F.array_join(missing, ",")),
+            "status": F.when(bad, F.lit("rejected")).otherwise(F.lit("accepted")),
+        }
+    )
+
+
+def part_records(written: DataFrame, schema: T.StructType = CAMPAIGN_SCHEMA) -> Records:
+    """The parts of marked records that were written by ``status``: one parse, and each part a partition of its own.
+
+    Rejected ones carry the ``reason`` and their text as ``record``. Counts of both parts add up to the records of the files.
+    """
+    names = [quoted(c) for c in schema.fieldNames()]
+    status = F.col("status")
+    return Records(
+        everything=written.select(*names),
+        accepted=written.filter(status == "accepted").select(*names),
+        rejected=written.filter(status == "rejected").select(*names, "reason", quoted(CORRUPT).alias("record")),
+    )
+
+
+def sort_out(spark: SparkSession, path: str | Sequence[str], critical: Sequence[str], **options) -> Records:
+    """``mark_records`` and ``part_records`` by way of the shared folder."""
+    return part_records(stage(mark_records(spark, path, critical, **options), "records", ["status"]))
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
     """Write a CSV dataset folder. ``single_file`` funnels into one task: small reports only."""
     out = df.coalesce(1) if single_file else df
