@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -20,13 +21,12 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Pieces that are packed together in one task.
 GROUP_PIECES = 20_000
-#: Exchanges between groups that are not certified.
-ROUNDS = 4
-#: Words whose ids a task remembers.
-REMEMBERED = 500_000
+#: Bytes of words and their ids that a task remembers; longer chunks of a text than a word may be are not kept.
+REMEMBERED_BYTES, WORD_CHARS = 96 << 20, 100
 MARKS = ".,!?;:"
-#: Where no such place is, every full stop and comma of a text is a word of its own.
-ODD = re.compile(r"[^\w\s.,]|[.,_]{2}")
+#: Where no such place is, every full stop and comma of a text is a word of its own. Letters that the tokenizer takes
+#: apart may end in a mark, which a stop or comma joins; up to the Latin letters that is the dotted capital I alone.
+ODD = re.compile(r"[^\w\s.,]|[.,_]{2}|[\u0130\u0250-\U0010ffff]")
 
 
 class WordEncoder:
@@ -43,18 +43,14 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.held = 0
         words = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
 
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.known) + len(chunks) > REMEMBERED:
-            self.known.clear()
-        # A mark after a letter is a word of its own, so "word." is "word" and ".".
-        ended = [c for c in chunks if len(c) > 1 and c[-1] in MARKS and c[-2].isalpha()]
-        wanted = chunks.difference(ended).union([c[:-1] for c in ended], [c[-1] for c in ended]) - self.known.keys()
+    def _ids(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         # A chunk of letters is one word to the tokenizer, so many can be encoded as one text and cut at word ends.
-        words = [c for c in wanted if c.isalpha() and _latin(c)]
+        words = [c for c in chunks if c.isalpha() and _latin(c)]
         lines = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
         encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.array([i for e in encoded for i in e.ids], "<u4")
@@ -63,13 +59,28 @@ class WordEncoder:
         if len(stops) != len(words):
             raise AssertionError("a word of letters was split")
         for c, stop in zip(words, (4 * stops).tolist(), strict=True):
-            self.known[c] = packed[at:stop]
+            yield c, packed[at:stop]
             at = stop
-        rest = list(wanted.difference(words))
+        rest = list(set(chunks).difference(words))
         for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[c] = np.array(e.ids, "<u4").tobytes()
-        for c in ended:
-            self.known[c] = self.known[c[:-1]] + self.known[c[-1]]
+            yield c, np.array(e.ids, "<u4").tobytes()
+
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of the chunks; those of usual length are remembered too, within a bound of bytes."""
+        # A mark after a letter is a word of its own, so "word." is "word" and ".".
+        ended = [c for c in chunks if len(c) > 1 and c[-1] in MARKS and _letter(c[-2])]
+        wanted = chunks.difference(ended).union([c[:-1] for c in ended], [c[-1] for c in ended])
+        found = {c: x for c in wanted if (x := self.known.get(c)) is not None}
+        found |= self._ids([c for c in wanted if c not in found])
+        found |= {c: found[c[:-1]] + found[c[-1]] for c in ended}
+        fresh = {c: x for c, x in found.items() if len(c) <= WORD_CHARS and c not in self.known}
+        size = sum(len(c) + len(x) for c, x in fresh.items()) + 150 * len(fresh)
+        if self.held + size > REMEMBERED_BYTES:
+            self.known, self.held = {}, 0
+        if size <= REMEMBERED_BYTES:
+            self.known |= fresh
+            self.held += size
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; null is empty."""
@@ -86,12 +97,17 @@ class WordEncoder:
         ids = list(map(self.known.get, chunks))
         missing = [i for i, x in enumerate(ids) if x is None]
         if missing:
-            self._learn({chunks[i] for i in missing})
+            found = self._learn({chunks[i] for i in missing})
             for i in missing:
-                ids[i] = self.known[chunks[i]]
+                ids[i] = found[chunks[i]]
         return [b"".join(ids[start:stop]) for start, stop in zip([0, *stops], stops)]
 
 
+def _letter(char: str) -> bool:
+    """Whether a character is a Latin letter that stays one letter in lower case."""
+    return char < "\u0250" and char != "\u0130" and char.isalpha()
+
+
 def _latin(text: str) -> bool:
     if text.isascii():
         return True
@@ -137,7 +153,13 @@ def token_pieces(
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Fewest bins of ``capacity`` that any packing of ``lengths`` needs, by dual-feasible functions.
+    """Fewest bins of ``capacity`` that any packing of ``lengths`` needs."""
+    own, counts = np.unique(lengths, return_counts=True)
+    return count_bound(own.astype(np.int64), counts.astype(np.int64), capacity)
+
+
+def count_bound(lengths: np.ndarray, many: np.ndarray, capacity: int) -> int:
+    """Fewest bins for so ``many`` pieces of each of the distinct ``lengths``, by dual-feasible functions.
 
     Two families: lengths above ``capacity - e`` count as full bins and lengths below ``e`` as nothing, for every
     ``e`` up to half a bin; and lengths rounded down to multiples of 1/k of a bin, unless they are exact. The
@@ -145,7 +167,8 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """
     if not len(lengths):
         return 0
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    counts = np.zeros(capacity + 1, np.int64)
+    counts[lengths] = many
     sizes = np.arange(capacity + 1, dtype=np.int64)
     number, weight = np.cumsum(counts), np.cumsum(counts * sizes)
     e = np.arange(0, capacity // 2 + 1)
@@ -213,20 +236,24 @@ def _pack_groups(pieces: DataFrame, groups: int, turn: int, capacity: int) -> Da
     return pieces.withColumn("group", group).groupBy("group").applyInArrow(pack, schema)
 
 
-def pack(
-    pieces: DataFrame,
-    capacity: int = SEQUENCE,
-    group_pieces: int = GROUP_PIECES,
-    rounds: int = ROUNDS,
-) -> DataFrame:
+def total_bound(held: DataFrame, capacity: int) -> int:
+    """``lower_bound`` over all lengths of a table: its counts per length are at most ``capacity`` rows."""
+    counts = held.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
+        return 0
+    return count_bound(np.array([r.length for r in counts], np.int64), np.array([r.n for r in counts], np.int64), capacity)
+
+
+def pack(pieces: DataFrame, capacity: int = SEQUENCE, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` (with a ``length`` column) plus ``sequence_id``, ``offset`` and ``certified``.
 
     Pieces as long as a sequence stand alone. The others are dealt by a hash into groups of about
     ``group_pieces``, each packed by best-fit decreasing in one task of bounded size; copies are dealt apart, so no
     group grows with a hot key. A group whose bin count equals its lower bound is certified: no packing of its
-    pieces has fewer bins. In the other groups, full bins are kept and the pieces of bins with gaps are
-    dealt anew over these groups and packed again, as long as that saves bins and for ``rounds`` rounds at most.
-    Every row of ``pieces`` comes back once; an empty table gives no rows. Lengths must be 1 to ``capacity``.
+    pieces has fewer bins. Then groups exchange: full bins are kept, and the pieces of all bins with gaps, of
+    certified groups too, are dealt anew and packed again, as long as that saves bins and the bins of all groups are
+    more than the lower bound of all lengths together. ``certified`` tells whether a piece's last group was
+    certified. Every row of ``pieces`` comes back once; an empty table gives no rows. Lengths must be 1 to ``capacity``.
     """
     held = stage(pieces.withColumn("uid", F.monotonically_increasing_id()), "pack-pieces")
     alone = held.filter(F.col("length") == capacity).select(
@@ -236,30 +263,35 @@ def pack(
         F.lit(True).alias("certified"),
     )
     short = held.filter(F.col("length") < capacity)
-    n = short.count()
-    done: list[DataFrame] = []
-    packed = stage(_pack_groups(short, max(1, -(-n // group_pieces)), 0, capacity), "pack-0")
-    for turn in range(1, rounds + 1):
-        gaps = ~F.col("certified") & (F.col("filled") < capacity)
-        again = packed.filter(gaps)
-        size, groups, bins = again.agg(
-            F.count(F.lit(1)), F.count_distinct("group"), F.count_distinct("group", "bin")
-        ).first()
-        if not size:
+    n, least = short.count(), total_bound(short, capacity)
+    kept: list[DataFrame] = []
+    turn, full_bins = 0, 0
+    packed = stage(_pack_groups(short, max(1, -(-n // group_pieces)), turn, capacity), "pack-0")
+    while True:
+        gaps = F.col("filled") < capacity
+        # A bin has one piece at offset 0, so bins are counted without a shuffle of distinct rows.
+        first = F.col("offset") == 0
+        size, open_bins, closed = packed.agg(F.count_if(gaps), F.count_if(gaps & first), F.count_if(~gaps & first)).first()
+        if not size or full_bins + closed + open_bins <= least or turn + 1 >= 1 << TURN_BITS:
             break
-        dealt = again.select(*short.columns)
-        retried = stage(_pack_groups(dealt, max(1, -(-size // group_pieces)), turn, capacity), f"pack-{turn}")
-        if retried.agg(F.count_distinct("group", "bin")).first()[0] >= bins:
+        again = packed.filter(gaps).select(*short.columns)
+        retried = stage(_pack_groups(again, max(1, -(-size // group_pieces)), turn + 1, capacity), f"pack-{turn + 1}")
+        if retried.filter(first).count() >= open_bins:
             break
-        done.append(packed.filter(~gaps))
-        packed = retried
-    tail = [_numbered(part, pieces.columns) for part in [*done, packed]]
+        kept.append(packed.filter(~gaps))
+        full_bins += closed
+        packed, turn = retried, turn + 1
+    tail = [_numbered(part, pieces.columns) for part in [*kept, packed]]
     return reduce(DataFrame.unionAll, [alone, *tail])
 
 
+#: Bits of an exchange's number, of a group's and of a bin's in a sequence id.
+TURN_BITS, GROUP_BITS, BIN_BITS = 10, 29, 24
+
+
 def _numbered(packed: DataFrame, columns: list[str]) -> DataFrame:
-    """Sequence ids from turn, group and bin: 3, 36 and 24 bits."""
-    number = F.shiftleft(F.col("turn").cast("bigint"), 60) + F.shiftleft("group", 24) + F.col("bin")
+    turn = F.shiftleft(F.col("turn").cast("bigint"), GROUP_BITS + BIN_BITS)
+    number = turn + F.shiftleft("group", BIN_BITS) + F.col("bin")
     return packed.select(*columns, number.alias("sequence_id"), "offset", "certified")
 
 
@@ -273,7 +305,11 @@ def sequences(packed: DataFrame) -> DataFrame:
 def pack_digest(
     df: DataFrame, tokenizer_path: str, text: str = "text", key: str = "doc_id", capacity: int = SEQUENCE
 ) -> DataFrame:
-    """Where every piece of every document lies, with a checksum in place of its ids."""
+    """Where every piece of every document lies, with a checksum in place of its ids.
+
+    Null and empty texts are one piece of one id. Repeated rows are packed each, null keys stay null, an empty table
+    gives no rows, and columns other than the key and the text are not read, whatever their names.
+    """
     pieces = token_pieces(df, tokenizer_path, text, key, capacity)
     crc = F.crc32("ids").alias("ids_crc32")
     return pack(pieces.select(key, "piece", "start", "length", crc), capacity).select(

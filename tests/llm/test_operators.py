@@ -87,6 +87,32 @@ def test_encoder_agrees_with_the_tokenizer():
         assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_marks_after_any_letter():
+    """Every letter before every mark, alone, within a word and in a text that holds other marks."""
+    encoder = packing.WordEncoder(TOKENIZER)
+    letters = [chr(i) for i in range(0x30000) if chr(i).isalpha()]
+    texts = [" ".join(f"{x}{c}{m}" for c in letters[i : i + 60] for x in ("", "a")) for i in range(0, len(letters), 60) for m in packing.MARKS]
+    dotted = [f"{x}\u0130{y}{m}{z}" for x in ("", "a", "É") for y in ("", "b", "\u0130", "\u0307") for m in (*packing.MARKS, ",.", "..") for z in ("", "x", " İ.")]
+    for some in ([*dotted, " ".join(dotted)], texts):
+        for i in range(0, len(some), 500):
+            part = some[i : i + 500]
+            want = encoder.tokenizer.encode_batch(part, add_special_tokens=False)
+            for text, ids, own in zip(part, encoder.encode(part), want, strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == own.ids, text
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    """Ids do not depend on what is remembered, and long chunks are not kept."""
+    r = random.Random(1)
+    texts = ["".join(r.choice("abcdef") for _ in range(n)) + " word, word. " + prose(r, 30) for n in (5, 90, 5_000) for _ in range(8)]
+    want = packing.WordEncoder(TOKENIZER).encode(texts)
+    for bound in (0, 300, 2_000, 50_000):
+        monkeypatch.setattr(packing, "REMEMBERED_BYTES", bound)
+        encoder = packing.WordEncoder(TOKENIZER)
+        assert [x for t in texts for x in encoder.encode([t])] == want
+        assert encoder.held <= bound and max(map(len, encoder.known), default=0) <= packing.WORD_CHARS
+
+
 def test_packing_keeps_every_token_once(docs, rows):
     pieces = packing.token_pieces(docs, TOKENIZER)
     packed = packing.pack(pieces.drop("ids").withColumn("crc", F.lit(0)), group_pieces=20).collect()
@@ -109,7 +135,7 @@ def test_packing_keeps_every_token_once(docs, rows):
             assert offset == at
             at += length
         assert at <= 2048
-    assert len(bins) <= packing.lower_bound(np.array([p.length for p in packed]), 2048) + 4
+    assert len(bins) <= packing.lower_bound(np.array([p.length for p in packed]), 2048) + 1
 
 
 def test_sequences_hold_the_ids(spark):
@@ -133,6 +159,23 @@ def test_bound_never_exceeds_the_best_packing(seed):
     assert packing.lower_bound(big, 12) == 9 == packing.best_fit_decreasing(big, 12)[2]
 
 
+def test_groups_exchange_their_gaps(spark):
+    """Groups that are certified alone still share their part-filled bins: 40 groups end near the bound of all pieces."""
+    df = spark.range(400).select("id", F.lit(7).cast("bigint").alias("length"), F.lit(0).alias("crc"))
+    df = df.union(spark.range(400, 800).select("id", F.lit(3).cast("bigint"), F.lit(0)))
+    packed = packing.pack(df, capacity=10, group_pieces=20).collect()
+    assert len(packed) == 800 and len({p.sequence_id for p in packed}) <= 402
+    mixed = spark.range(3_000).select("id", (F.pmod(F.xxhash64("id"), F.lit(900)) + 1).cast("bigint").alias("length"))
+    found = packing.pack(mixed, capacity=1_000, group_pieces=100)
+    lengths = np.array([p.length for p in found.collect()])
+    least = packing.lower_bound(lengths, 1_000)
+    alone = packing._pack_groups(mixed.withColumn("uid", F.col("id")), 30, 0, 1_000).filter("offset = 0").count()
+    assert least <= found.filter("offset = 0").count() < alone
+    large = packing.pack(mixed, capacity=1_000, group_pieces=1_000).filter("offset = 0").count()
+    assert large <= 1.01 * least
+    assert packing.pack(mixed.limit(0), capacity=1_000).collect() == []
+
+
 # Near duplicates
 
 
@@ -568,14 +611,15 @@ def brute_repeats(texts, length):
                 covered[i : i + length] = True
         kept = np.frombuffer(t, np.uint8)[~covered].tobytes()
         runs = int(np.count_nonzero(np.diff(covered, prepend=False) & covered)) if len(t) else 0
-        out.append((len(t), int(covered.sum()), runs, hashlib.sha256(kept).hexdigest()))
+        chars = sum(b & 0xC0 != 0x80 for b in kept)
+        out.append((len(t), int(covered.sum()), runs, hashlib.sha256(kept).hexdigest(), len(kept), chars))
     return out
 
 
 @pytest.mark.parametrize("passages", [1_000, 2])
 def test_repeats(docs, rows, passages, monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK_PASSAGES", passages)
-    got = [(x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in repeats.repeat_digest(docs).collect()]
+    got = [tuple(x) for x in repeats.repeat_digest(docs).collect()]
     want = brute_repeats([(t or "").encode() for _, t, *_ in rows], 400)
     assert sorted(got, key=str) == sorted([(k[0], *w) for k, w in zip(rows, want, strict=True)], key=str)
     assert any(0 < x[2] < x[1] for x in got)
