@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pledgekit.llm.bwt import long_prefixes
 from pledgekit.llm.text import map_texts, mix64, prefix_hashes, raw
+from pledgekit.operators.lookups import spread_lookup
 from pledgekit.runtime import stage
 
 # Length of the strings in bytes.
@@ -20,8 +21,8 @@ LENGTH = 400
 GRAM = 64
 #: Starts of one text that are looked at together.
 SEGMENT = 4 << 20
-#: Bytes of passages that one task puts in order, and most passages of one anchor there.
-BLOCK_BYTES, BLOCK_PASSAGES = 700_000, 1_000
+#: Bytes of passages that are put in order together, most passages of one anchor there, and most tasks for that.
+BLOCK_BYTES, BLOCK_PASSAGES, BLOCK_TASKS = 700_000, 1_000, 20_000
 _SALT = np.uint64(0x8CB92BA72F3D8DD7)
 _TIE_BITS = np.uint64(24)
 
@@ -56,28 +57,34 @@ def anchor_runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> lis
     return out
 
 
+def _characters(data: np.ndarray) -> int:
+    """Characters that begin in UTF-8 bytes."""
+    return int(np.count_nonzero((data & 0xC0) != 0x80))
+
+
 def _digest(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
 def _prints(docs: DataFrame, length: int) -> DataFrame:
-    """(key, digest, n_bytes, sha256, anchors) of every text; ``anchors`` are the hashes of its runs, twice at most."""
+    """(key, digest, n_bytes, n_chars, sha256, anchors) of every text; ``anchors`` are the hashes of its runs, twice at most."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = raw(part.column("text"))
-        anchors, sha = [], []
+        anchors, sha, chars = [], [], []
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             runs = anchor_runs(data[a:b], length)
             own, count = np.unique(np.concatenate([r[3] for r in runs] or [np.zeros(0, np.int64)]), return_counts=True)
             anchors.append(np.repeat(own, np.minimum(count, 2)))  # once or more often is all that counts
             sha.append(hashlib.sha256(data[a:b]).hexdigest())
+            chars.append(_characters(data[a:b]))
         ends = pa.array(np.cumsum([0, *map(len, anchors)]), pa.int32())
         lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(anchors)))
-        columns = [part.column("key"), part.column("digest"), pa.array(np.diff(offsets)), pa.array(sha), lists]
-        return pa.RecordBatch.from_arrays(columns, names=["key", "digest", "n_bytes", "sha256", "anchors"])
+        columns = [part.column("key"), part.column("digest"), pa.array(np.diff(offsets)), pa.array(chars, pa.int64()), pa.array(sha), lists]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "digest", "n_bytes", "n_chars", "sha256", "anchors"])
 
     kind = docs.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, digest binary, n_bytes bigint, sha256 string, anchors array<bigint>"
+    schema = f"key {kind}, digest binary, n_bytes bigint, n_chars bigint, sha256 string, anchors array<bigint>"
     return map_texts(docs, {c: c for c in ("key", "digest", "text")}, schema, work)
 
 
@@ -124,7 +131,8 @@ def _in_blocks(units: DataFrame, length: int) -> DataFrame:
     Groups are dealt into blocks of like size; a group is never cut, so equal strings meet in one block.
     """
     size = units.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
-    block = F.pmod(F.xxhash64("group"), F.lit(max(1, -(-size // BLOCK_BYTES))))
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("group"), F.lit(blocks))
 
     def find(table: pa.Table) -> pa.Table:
         names, parts = table.column("passage").to_pylist(), table.column("bytes").to_pylist()
@@ -137,6 +145,8 @@ def _in_blocks(units: DataFrame, length: int) -> DataFrame:
 
     return (
         units.select(block.alias("block"), "passage", "bytes")
+        # Blocks cost time rather than bytes, so they are dealt by count; a given count is not merged into fewer tasks.
+        .repartition(min(blocks, BLOCK_TASKS), "block")
         .groupBy("block")
         .applyInArrow(find, "passage binary, first bigint, last bigint")
     )
@@ -159,8 +169,9 @@ def _resolve(passages: DataFrame, length: int) -> DataFrame:
     )
     found: list[DataFrame] = []
     while True:
-        sizes = units.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-        level = stage(units.join(sizes, "group"), "repeat-units")
+        sizes = stage(units.groupBy("group").agg(F.count(F.lit(1)).alias("members")), "repeat-sizes")
+        level = spread_lookup(units, F.col("group"), sizes, "group", "members", F.xxhash64("unit"), ("members",))
+        level = stage(level, "repeat-units")
         several = level.filter((F.col("members") > 1) & (F.col("members") <= BLOCK_PASSAGES))
         twice = level.filter(F.col("n") > 1)
         runs = _in_blocks(several.select("group", F.col("unit").alias("passage"), "bytes"), length).union(
@@ -235,8 +246,8 @@ def _marked(n: int, firsts: list[int], lasts: list[int], length: int) -> tuple[n
 def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Removes every byte covered by a ``length``-byte string that also starts anywhere else in the corpus.
 
-    Gives two tables: key, digest, n_bytes, n_removed, n_spans and kept_sha256 of every document; and digest
-    and ``kept`` (the remaining bytes) of each distinct text that loses something but not everything.
+    Gives two tables: key, digest, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes and kept_chars (characters that
+    begin in them) of every document; and digest and ``kept`` (the remaining bytes) of each distinct text that loses something but not everything.
 
     1. Every string of ``length`` bytes has an anchor chosen by its own bytes, so equal strings meet under one
     anchor hash, and runs of strings share one; anchors are sparse, so little is shuffled. 2. Texts with an anchor that
@@ -284,7 +295,7 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = raw(batch.column("text"))
-            removed, runs, kept = [], [], []
+            removed, runs, kept, chars = [], [], [], []
             firsts, lasts = batch.column("firsts"), batch.column("lasts")
             for i in range(batch.num_rows):
                 own = data[offsets[i] : offsets[i + 1]]
@@ -292,29 +303,39 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
                 removed.append(int(covered.sum()))
                 runs.append(n)
                 kept.append(own[~covered].tobytes())
-            columns = [batch.column("digest"), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["digest", "n_removed", "n_spans", "kept"])
+                chars.append(_characters(own[~covered]))
+            counts = [pa.array(c, pa.int64()) for c in (removed, runs, chars)]
+            columns = [batch.column("digest"), *counts, pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "n_removed", "n_spans", "kept_chars", "kept"])
 
-    schema = "digest binary, n_removed bigint, n_spans bigint, kept binary"
+    schema = "digest binary, n_removed bigint, n_spans bigint, kept_chars bigint, kept binary"
     kept = stage(partly.select("digest", "text", "firsts", "lasts").mapInArrow(cut, schema), "repeat-kept")
-    losses = kept.select("digest", "n_removed", "n_spans", F.sha2("kept", 256).alias("rest"))
+    losses = kept.select("digest", "n_removed", "n_spans", "kept_chars", F.sha2("kept", 256).alias("rest"))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
+    lost = F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint")
     report = (
-        prints.select("key", "digest", "n_bytes", "sha256")
+        prints.select("key", "digest", "n_bytes", "n_chars", "sha256")
         .join(classes.select("digest", "copies"), "digest")
         .join(losses, "digest", "left")
         .select(
             F.col("key").alias(key),
             "digest",
             "n_bytes",
-            F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
+            lost.alias("n_removed"),
             F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
             F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("rest", "sha256")).alias("kept_sha256"),
+            (F.col("n_bytes") - lost).alias("kept_bytes"),
+            F.when(whole, 0).otherwise(F.coalesce("kept_chars", "n_chars")).cast("bigint").alias("kept_chars"),
         )
     )
     return report, kept
 
 
 def repeat_digest(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
+    """The first table of ``remove_repeats``: lengths, spans and a digest of what is left of every document.
+
+    A null or empty text has 0 bytes and the digest of none. Repeated rows repeat each other as a whole; null and
+    repeated keys are only carried. An empty table gives no rows. Columns other than key and text are not read.
+    """
     report, _ = remove_repeats(df, text, key, length)
     return report.drop("digest")
