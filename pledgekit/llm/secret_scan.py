@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -42,20 +45,65 @@ KINDS = BASE_KINDS + tuple(c.kind for c in CLASSES)
 
 # Allow-list: what looks random and is no secret. A candidate inside one of these is left alone. A URL ends at
 # quotes, separators, brackets, its query or fragment, and the value of a name in its path; of a user in it
-# nothing is allowed.
+# nothing is allowed. Mail addresses are found from their @ sign, so a long text without one costs nothing.
 ALLOWED = re.compile(
     r"""https?://(?P<user>[^\s"'`,;|\\^<>()\[\]{}«»“”‘’?#&@/]*@)?(?:[^\s"'`,;|\\^<>()\[\]{}«»“”‘’?#&=]|=(?![A-Za-z0-9+/_-]))*"""
-    r"|[\w.+-]+@[\w-]+\.[\w.-]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 )
+MAIL_USER, MAIL_HOST = re.compile(r"[\w.+-]"), re.compile(r"[\w-]+\.[\w.-]+")
 #: Words that mark the candidate they are part of as made up.
 MADE_UP = re.compile("EXAMPLE|example|placeholder")
 
 
-def _made_up(run: str, start: int, end: int) -> bool:
+class _Spans:
+    """Spans by start, with the farthest end so far: whether any holds a given span is one search."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        ordered = sorted(spans)
+        self.starts = [a for a, _ in ordered]
+        self.ends = list(accumulate((b for _, b in ordered), max))
+
+    def hold(self, start: int, end: int) -> bool:
+        at = bisect_right(self.starts, start)
+        return at > 0 and self.ends[at - 1] >= end
+
+
+def allowed_spans(text: str) -> _Spans:
+    found = [(m.start(), m.end(), m.end("user") if m["user"] else m.start()) for m in ALLOWED.finditer(text)]
+    begins = [a for a, _, _ in found]
+    spans = [(inner, b) for _, b, inner in found]
+    at = text.find("@")
+    while at >= 0:
+        before = bisect_right(begins, at) - 1
+        if before < 0 or found[before][1] <= at:  # not within a URL
+            least = found[before][1] if before >= 0 else 0
+            start = at
+            while start > least and MAIL_USER.match(text, start - 1):
+                start -= 1
+            host = MAIL_HOST.match(text, at + 1)
+            if start < at and host:
+                spans.append((start, host.end()))
+        at = text.find("@", at + 1)
+    return _Spans(spans)
+
+
+def _made_up_spans(run: str) -> Callable[[int, int], bool]:
     """Whether the part of a run, between equals signs, that has most of a span holds a word for made-up values."""
-    parts = [m for m in re.finditer("[^=]+", run) if m.start() < end and start < m.end()]
-    most = max(parts, key=lambda m: min(m.end(), end) - max(m.start(), start))
-    return bool(MADE_UP.search(most[0]))
+    if not MADE_UP.search(run):
+        return lambda start, end: False
+    parts = [(m.start(), m.end(), bool(MADE_UP.search(m[0]))) for m in re.finditer("[^=]+", run)]
+    ends = [b for _, b, _ in parts]
+
+    def test(start: int, end: int) -> bool:
+        most, marked = 0, False
+        for a, b, made_up in islice(parts, bisect_right(ends, start), None):
+            if a >= end:
+                break
+            if min(b, end) - max(a, start) > most:
+                most, marked = min(b, end) - max(a, start), made_up
+        return marked
+
+    return test
 
 
 def _mixed(part: str) -> bool:
@@ -108,23 +156,23 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     same run, add nothing and are left out.
     """
     found = base_spans(text)
-    held = [(a, b) for _, a, b in found]
-    allowed: list[tuple[int, int]] | None = None
+    allowed: _Spans | None = None
     for cls in CLASSES:
+        # Spans of one class do not overlap, so those of earlier kinds are all that can hold them.
+        held = _Spans((a, b) for _, a, b in found)
         for m in cls.run.finditer(text):
             if not _mixed(m[0]):
                 continue
-            marked = MADE_UP.search(m[0])
+            made_up = _made_up_spans(m[0])
             for a, b in entropy_runs(m[0], cls.window, cls.bits):
-                if marked and _made_up(m[0], a, b):
+                if made_up(a, b):
                     continue
                 a, b = a + m.start(), b + m.start()
-                if not _mixed(text[a:b]) or any(x <= a and b <= y for x, y in held):
+                if not _mixed(text[a:b]) or held.hold(a, b):
                     continue
                 if allowed is None:
-                    allowed = [(x.end("user") if x["user"] else x.start(), x.end()) for x in ALLOWED.finditer(text)]
-                if not any(x <= a and b <= y for x, y in allowed):
-                    held.append((a, b))
+                    allowed = allowed_spans(text)
+                if not allowed.hold(a, b):
                     found.append((cls.kind, a, b))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -137,7 +185,8 @@ def secret_spans(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     """Key and ``spans`` of every whole text.
 
     A null or empty text has an empty list. Repeated rows are scanned each, null keys stay null, an empty
-    table gives no rows. One narrow pass in bounded slices; a row's cost follows its length.
+    table gives no rows. One narrow pass in bounded slices; a row's cost follows its length. What lies in the path of
+    a URL is allowed, random or not, unless a base pattern matches it; so tokens in the path of a web hook go unreported.
     """
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -190,7 +239,11 @@ def _joined(spans: Column) -> Column:
 
 
 def span_digest(spans: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counts per base kind, digest of the base spans, and all spans as text."""
+    """Counts per base kind, digest of the base spans, and all spans as text.
+
+    Without spans the counts are 0, the digest is that of nothing and the text is empty; null keys stay null, and an
+    empty table gives no rows.
+    """
 
     def of(*kinds: str) -> Column:
         return F.filter("spans", lambda s: s["kind"].isin(*kinds))
