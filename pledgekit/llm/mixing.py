@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pledgekit.operators.ranking import number_rows, running_totals
+
 # Weights by rank of the source, share of all sizes the mix holds, most epochs of a source.
 WEIGHTS = (5, 2, 1)
 TOTAL_PERCENT = 150
 MAX_EPOCHS = 2
 SEED = 42
-#: Hash ranges a source is dealt into; only sums per range are added up one after another.
-RANGES = 4096
+#: About so many documents of a source stand in one hash range; a source has 4,096 ranges at least.
+RANGE_ROWS = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -32,24 +34,22 @@ def source_targets(
     order, null last, and repeat. Clamping and resharing until no target is above its cap ends at one level:
     every target is ``min(cap, level * weight)``. Sources reach their cap in the order of cap / weight, so
     the level follows from running sums in that order and no loop is needed. If the caps together hold less
-    than asked for, every target is its cap. Only this table of one row per source is ordered as a whole.
+    than asked for, every target is its cap. Sources are numbered and summed up by value ranges, so there may be any
+    number of them; an empty table gives no rows.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    given = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
-    cap = F.col("source_size") * F.lit(float(max_epochs))
-    by_level = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    below = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = Window.partitionBy()
-    steps = (
-        sizes.select("source", "source_size", given.alias("weight"), cap.alias("cap"))
-        .withColumn("wanted", F.sum("source_size").over(whole) * F.lit(total_percent / 100.0))
-        .withColumn("free", F.col("wanted") - F.coalesce(F.sum("cap").over(below), F.lit(0.0)))
-        .withColumn("level", F.col("free") / F.sum("weight").over(rest))
-        .withColumn("clamped", F.col("level") * F.col("weight") >= F.col("cap"))
-        # Below the first source that is not clamped all are; its level is the level of all above it.
-        .withColumn("final", F.min(F.when(~F.col("clamped"), F.struct(F.col("cap") / F.col("weight"), "source", "level"))).over(whole)["level"])
-    )
+    ranked = number_rows(sizes.select("source", "source_size"), [F.col("source").asc_nulls_last()], "rank")
+    given = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    weighed = ranked.withColumns({"weight": given, "cap": F.col("source_size") * F.lit(float(max_epochs))})
+    ordered = number_rows(weighed, [F.col("cap") / F.col("weight"), F.col("rank")], "place")
+    # Sums of whole numbers, exact in any order.
+    summed = running_totals(ordered, "place", ["source_size", "cap", "weight"])
+    below = F.col("cum_cap") - F.col("cap")
+    free = F.col("total_source_size") * F.lit(total_percent / 100.0) - below
+    steps = summed.withColumn("level", free / (F.col("total_weight") - F.col("cum_weight") + F.col("weight")))
+    # Below the first source that is not clamped all are; its level is the level of all above it.
+    open_ones = steps.filter(F.col("level") * F.col("weight") < F.col("cap"))
+    first = open_ones.agg(F.min(F.struct("place", "level")).alias("first")).select(F.col("first.level").alias("level"))
+    steps = steps.withColumn("final", first.scalar())
     target = F.when(F.col("final").isNull(), F.col("cap")).otherwise(
         F.least(F.col("cap"), F.col("final") * F.col("weight"))
     )
@@ -77,45 +77,54 @@ def mix(
     A source is dealt into hash ranges: sums per range are added up, and rows are ordered within their
     range only, so a source with a third of all rows is many small groups. Null sources form one source;
     a source of size 0 has target 0 and its documents are taken once at most with nothing in them. A null
-    key hashes to a value of its own; repeated rows count each. An empty table gives no rows.
+    key hashes to a value of its own; repeated rows count each. An empty table gives no rows. Carried columns whose
+    names the mix uses itself are refused (carry them as one struct).
     """
+    if clash := set(carry) & {key, "source", "size", "source_size", "target", "repeats"}:
+        raise ValueError(f"carried columns have names of the mix itself: {', '.join(sorted(clash))}")
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null"))))
+    n, digits = df.count(), 3
+    while RANGE_ROWS << 4 * digits < n:  # finer ranges change no sum
+        digits += 1
     docs = df.select(
         F.col(f"`{key}`").alias(key),
         *[F.col(f"`{c}`") for c in carry],
         F.col(f"`{source}`").alias("source"),
+        # A key that is never null, so that the windows and the join below deal rows alike and move them once.
+        F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit("")).alias("_from"),
         size.alias("size"),
         digest.alias("_hash"),
-        F.conv(F.substring(digest, 1, 3), 16, 10).cast("int").alias("_range"),
+        F.conv(F.substring(digest, 1, digits), 16, 10).cast("bigint").alias("_range"),
     )
-    ranges = docs.groupBy("source", "_range").agg(F.sum("size").alias("_range_size"))
+    ranges = docs.groupBy("_from", "source", "_range").agg(F.sum("size").alias("_range_size"))
     sizes = ranges.groupBy("source").agg(F.sum("_range_size").alias("source_size"))
     targets = source_targets(sizes, weights, total_percent, max_epochs)
-    ahead = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("_from").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select(
+        "_from",
+        "_range",
         F.col("source").alias("_s"),
-        F.col("_range").alias("_r"),
         F.coalesce(F.sum("_range_size").over(ahead), F.lit(0)).alias("_start"),
     )
     within = (
-        Window.partitionBy("source", "_range")
+        Window.partitionBy("_from", "_range")
         .orderBy("_hash", key, F.col("size"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    plan = starts.join(targets.withColumnRenamed("source", "_t"), F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
+    plan = starts.join(targets.withColumnRenamed("source", "_t"), F.col("_s").eqNullSafe(F.col("_t"))).drop("_t", "_s")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - whole * F.col("source_size")
     middle = F.col("_start") + F.col("_sum") - F.col("size") / 2.0
     return (
         docs.withColumn("_sum", F.sum("size").over(within))
-        .join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
+        .join(plan, ["_from", "_range"])
         .withColumn("repeats", (whole + F.when(middle < rest, 1).otherwise(0)).cast("bigint"))
         .select(key, *carry, "source", "size", "source_size", "target", "repeats")
     )
 
 
 def repeat_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The mix itself: every row as often as it is repeated."""
+    """The mix itself: every row as often as it is repeated; rows repeated 0 times or a null number of times go."""
     times = F.when(F.col("repeats") > 0, F.sequence(F.lit(1), F.col("repeats").cast("int"))).otherwise(
         F.array().cast("array<int>")
     )
@@ -123,7 +132,11 @@ def repeat_rows(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def mixed_sizes(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """Key, size, source_size, target and ``taken`` (words the mix takes) of every document."""
+    """Key, size, source_size, target and ``taken`` (words the mix takes) of every document.
+
+    A null or empty text has size 0 and is taken with 0 words; null keys and sources stay null, repeated rows count
+    each, an empty table gives no rows. Columns other than key, source and text are not read.
+    """
     mixed = mix(df, word_count(F.col(f"`{text}`")), source, key)
     return mixed.select(key, "size", "source_size", "target", (F.col("repeats") * F.col("size")).alias("taken"))
 
