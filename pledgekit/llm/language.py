@@ -115,6 +115,7 @@ def learn_languages(
         .groupBy("entry", "lang")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    grams = stage(grams, "language-grams")
     known, word_scores = _table(words, languages, MAX_WORDS)
     pieces, gram_scores = _table(grams, languages, MAX_GRAMS)
     return LanguageModel(languages, known, word_scores, pieces, gram_scores)
