@@ -148,10 +148,13 @@ def learn_quality(
 ) -> QualityModel:
     """Fit on about ``fit_rows`` of the documents with a label of 0 or 1; the sample goes to one task, by its bound.
 
-    Rows with a null text count as empty, rows without key or label teach nothing. Labels are joined by key.
+    Rows with a null text count as empty, rows without key or label teach nothing. Labels are joined by key; of a key's
+    several labels the larger counts.
     """
     marks = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"))
     marks = marks.filter(F.col("label").isin(0, 1))
+    # A key that is marked more than once teaches once, so the sample below is bounded whatever the keys are.
+    marks = marks.filter(F.col("key").isNotNull()).groupBy("key").agg(F.max("label").alias("label"))
     n = max(1, marks.count())
     chosen = marks.filter(F.pmod(F.xxhash64(F.col("key"), F.lit("fit")), F.lit(1 << 20)) < fit_rows / n * (1 << 20))
     docs = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
