@@ -198,7 +198,7 @@ def prep_pipeline(spark, sf_dir):
     return rounded(out, *[f"{c}_scaled" for c in NUMERIC])
 
 
-def _slots_sql() -> str:
+def slots_sql() -> str:
     """Slot names in vector order: (kind order, position, name)."""
     parts = [f"SELECT 0 AS g, {i} AS p, 'cont_scaled_{i}' AS name" for i in range(3)]
     for g, c in enumerate(FEATURES.low_card, 1):
@@ -212,7 +212,7 @@ def _slots_sql() -> str:
 
 @register(
     "slot_names",
-    with_campaigns(TRAIN_ROWS, *labels_sql("train_rows", FEATURES.low_card), _slots_sql())
+    with_campaigns(TRAIN_ROWS, *labels_sql("train_rows", FEATURES.low_card), slots_sql())
     + "SELECT CAST(row_number() OVER (ORDER BY g, p) - 1 AS INT) AS slot, name FROM names",
 )
 def slot_names(spark, sf_dir):

@@ -11,8 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from catalog.encodings import TRAIN_ROWS, labels_sql, slots_sql
 from catalog.fixture import campaigns, featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
 from pledgekit.functions.columns import positive_probability, square, total
@@ -31,7 +31,7 @@ from pledgekit.plans.supervised import (
     train_and_evaluate,
 )
 from pledgekit.runtime import ensure_checkpoints, persisted, small, stage
-from pledgekit.spec import ClusterSpec, ModelSpec
+from pledgekit.spec import ClusterSpec, FeatureSpec, ModelSpec
 
 PUBLISHED = ModelSpec()
 CLUSTERS = ClusterSpec()
@@ -47,14 +47,15 @@ def vectors(spark, sf_dir):
     return stage(encoding.cluster_preparation().fit(rows).transform(rows).select("ID", "features"), "cluster-vectors")
 
 
-def _coefficients(ready, vector: str, model):
-    names = encoding.slot_names(ready.table, vector)
-    schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("coefficient", T.DoubleType())])
-    weights = [(i, float(w)) for i, w in enumerate(model.coefficients)] + [(-1, float(model.intercept))]
-    table = names.sparkSession.createDataFrame(weights, schema)
-    return table.join(names, "slot", "left").select(
-        F.coalesce("name", F.lit("(intercept)")).alias("feature"), "coefficient"
-    )
+# Slots of the two vectors by name; the classifier's second assembly puts its parts' names before their own.
+SLOTS_SQL = with_campaigns(
+    TRAIN_ROWS,
+    *labels_sql("train_rows", FeatureSpec().low_card),
+    slots_sql(),
+    """plain AS (SELECT CAST(row_number() OVER (ORDER BY g, p) - 1 AS INT) AS slot, name FROM names),
+    classifier AS (SELECT slot, 'features_' || name AS name FROM plain
+      UNION ALL SELECT CAST((SELECT COUNT(*) FROM plain) AS INT), 'engagement_scaled_0')""",
+)
 
 
 def largest_forest(levels):
@@ -66,10 +67,24 @@ def largest_boosted(levels):
     return models.boosted(levels).setMaxIter(max(PUBLISHED.boost_rounds)).setMaxDepth(max(PUBLISHED.boost_depths))
 
 
-@register("logistic_fit")
+def _coefficient_flags(table):
+    """Each slot once, with a coefficient but for the intercept, and no slope left in the penalised loss."""
+    flat = F.abs(F.col("gradient")) < 1e-4
+    named = F.col("coefficient").isNotNull() & ~F.isnan("coefficient")
+    return table.select("slot", "feature", (named | (F.col("slot") == -1)).alias("fitted"), flat.alias("stationary"))
+
+
+def _coefficients_sql(view: str) -> str:
+    return SLOTS_SQL + f"""SELECT slot, name AS feature, TRUE AS fitted, TRUE AS stationary FROM {view}
+        UNION ALL SELECT CAST(-1 AS INT), '{models.INTERCEPT}', TRUE, TRUE"""
+
+
+@register("logistic_fit", _coefficients_sql("classifier"))
 def logistic_fit(spark, sf_dir):
+    """The penalised loss has no slope at the fitted coefficients, recomputed from the training rows."""
     ready = prepared(spark, sf_dir)
-    return _coefficients(ready, "features_clf", models.logistic().fit(ready.train))
+    names = encoding.slot_names(ready.table, "features_clf")
+    return _coefficient_flags(models.logistic_gradient(models.logistic().fit(ready.train), ready.train, names))
 
 
 @register(
@@ -90,33 +105,33 @@ def logistic_levels(spark, sf_dir):
     return rounded(scored.groupBy("main_category").agg(F.avg("p").alias("prob_success")), "prob_success", digits=4)
 
 
-def _importance_facts(model, names):
-    """Number of slots without exactly one importance, and whether importances are shares that add up to 1."""
-    table = models.feature_importance(model, names)
-    counts = names.select(F.col("name").alias("feature")).join(table, "feature", "left")
-    per = counts.groupBy("feature").agg(F.count("importance").alias("n"), F.sum("importance").alias("share"))
-    return per.agg(
-        F.count_if(F.col("n") != 1).alias("odd_slots"),
-        (F.abs(F.sum("share") - 1) < 1e-9).alias("adds_up"),
-        (F.min("share") >= 0).alias("shares"),
+def _importance_rows(model, names):
+    """Every slot once, with its importance between 0 and 1, and all of them adding up to 1."""
+    table = models.slot_importance(model, names)
+    whole = Window.partitionBy()  # one row per slot of the vector
+    share = F.col("importance")
+    return table.select(
+        "slot", "feature", share.between(0, 1).alias("is_share"), (F.abs(F.sum(share).over(whole) - 1) < 1e-9).alias("adds_up")
     )
 
 
-IMPORTANCE_SQL = "SELECT CAST(0 AS BIGINT) AS odd_slots, TRUE AS adds_up, TRUE AS shares"
+def _importance_sql(view: str) -> str:
+    return SLOTS_SQL + f"SELECT slot, name AS feature, TRUE AS is_share, TRUE AS adds_up FROM {view}"
 
 
-@register("forest_fit", IMPORTANCE_SQL)
+@register("forest_fit", _importance_sql("classifier"))
 def forest_fit(spark, sf_dir):
-    """The largest published forest: one importance per slot. ``feature_importance`` returns the values."""
+    """The largest published forest: an importance for every slot."""
     ready = prepared(spark, sf_dir)
     model = largest_forest(ready.levels).fit(ready.train)
-    return _importance_facts(model, encoding.slot_names(ready.table, "features_clf"))
+    return _importance_rows(model, encoding.slot_names(ready.table, "features_clf"))
 
 
-@register("linear_fit")
+@register("linear_fit", _coefficients_sql("plain"))
 def linear_fit(spark, sf_dir):
     ready = prepared(spark, sf_dir)
-    return _coefficients(ready, "features", models.linear().fit(ready.train))
+    names = encoding.slot_names(ready.table, "features")
+    return _coefficient_flags(models.linear_gradient(models.linear().fit(ready.train), ready.train, names))
 
 
 @register(
@@ -172,20 +187,33 @@ def gbt_stump(spark, sf_dir):
     return rounded(sides.agg(F.avg("prediction").alias("prediction")), "prediction")
 
 
-@register("gbt_fit", IMPORTANCE_SQL)
+@register("gbt_fit", _importance_sql("plain"))
 def gbt_fit(spark, sf_dir):
-    """The largest published boosted trees: one importance per slot."""
+    """The largest published boosted trees: an importance for every slot."""
     ready = prepared(spark, sf_dir)
     ensure_checkpoints(spark)
     model = largest_boosted(ready.levels).fit(ready.train)
-    return _importance_facts(model, encoding.slot_names(ready.table, "features"))
+    return _importance_rows(model, encoding.slot_names(ready.table, "features"))
 
 
-@register("kmeans_fit")
+@register(
+    "kmeans_fit",
+    " UNION ALL ".join(
+        f"SELECT CAST(cluster AS INT) AS cluster, '{c}' AS feature, TRUE AS is_mean FROM range({CLUSTERS.k}) AS r(cluster)"
+        for c in CLUSTERS.features
+    ),
+)
 def kmeans_fit(spark, sf_dir):
+    """Every coordinate of every center is the mean of the campaigns assigned to it, in standard deviations."""
     rows = vectors(spark, sf_dir)
     model = models.kmeans(CLUSTERS.k).fit(rows)
-    return clustering.model_centers(rows, model, CLUSTERS.features)
+    centers = clustering.model_centers(rows, model, CLUSTERS.features)
+    slots = vector_to_array("features")
+    assigned = model.transform(rows).select("prediction", *[slots[i].alias(c) for i, c in enumerate(CLUSTERS.features)])
+    means = clustering.center_means(assigned, CLUSTERS.features, "prediction")
+    both = centers.alias("c").join(means.alias("m"), "cluster")
+    near = [F.struct(F.lit(c).alias("feature"), (F.abs(F.col(f"c.{c}") - F.col(f"m.{c}")) < 0.01).alias("is_mean")) for c in CLUSTERS.features]
+    return both.select("cluster", F.inline(F.array(*near)))
 
 
 def _grid_sql() -> str:
@@ -303,12 +331,29 @@ def fitted_regressors(spark, sf_dir):
     )
 
 
-@register("feature_importance")
+@register(
+    "feature_importance",
+    SLOTS_SQL + """SELECT CAST(r AS INT) AS "rank", TRUE AS is_slot, TRUE AS descending, TRUE AS none_larger_left_out
+        FROM range(1, (SELECT least(15, COUNT(*)) FROM classifier) + 1) AS t(r)""",
+)
 def feature_importance(spark, sf_dir):
-    """The 15 largest importances; the limit is the feature."""
+    """The 15 largest importances in order, against those of all slots; the limit is the feature."""
     ready = prepared(spark, sf_dir)
     model = largest_forest(ready.levels).fit(ready.train)
-    return models.feature_importance(model, encoding.slot_names(ready.table, "features_clf"), top=15)
+    names = encoding.slot_names(ready.table, "features_clf")
+    everything = {r.feature: r.importance for r in models.slot_importance(model, names).collect()}
+    top = models.feature_importance(model, names, top=15).collect()
+    rest = [v for f, v in everything.items() if f not in {r.feature for r in top}]
+    rows = [
+        (
+            k + 1,
+            everything.get(r.feature) == r.importance,
+            k == 0 or top[k - 1].importance >= r.importance,
+            r.importance >= max(rest, default=0.0),
+        )
+        for k, r in enumerate(top)
+    ]
+    return spark.createDataFrame(rows, "rank int, is_slot boolean, descending boolean, none_larger_left_out boolean")
 
 
 @register("classification_results", with_campaigns() + TEST_ROWS.format("label, TRUE AS in_range, TRUE AS agrees"))
@@ -392,17 +437,50 @@ def embedding_clusters(spark, sf_dir):
     """K-means over another vector table: every vector is assigned once, to its nearest center."""
     from pyspark.ml.functions import array_to_vector
 
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(F.col("embedding").isNotNull())
+    rows = vectors.select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
     model = models.kmeans(CLUSTERS.k).fit(rows)
     return model.transform(rows).select("vec_id", _is_nearest(model).alias("nearest"))
 
 
-@register("run_report")
+def _run_report_sql() -> str:
+    facts = {
+        ("run", "seed"): str(PUBLISHED.seed),
+        ("rows", "raw"): "(SELECT COUNT(*) FROM campaigns)",
+        ("rows", "clean"): "(SELECT COUNT(*) FROM parts)",
+        ("rows", "successful"): "(SELECT COUNT(*) FROM parts WHERE label = 1)",
+        ("split", "train"): "(SELECT COUNT(*) FROM parts WHERE split = 'train')",
+        ("split", "test"): "(SELECT COUNT(*) FROM parts WHERE split = 'test')",
+        ("vector", "slots"): "(SELECT COUNT(*) FROM plain)",
+        ("clusters", "k"): str(CLUSTERS.k),
+    }
+    learned = [("classification", f"{m}: {x}") for m in (LOGISTIC, FOREST) for x in ("accuracy", "f1", "auc")]
+    learned += [("regression", f"{m}: {x}") for m in (LINEAR, BOOSTED) for x in ("r2_log", "rmse_orig")]
+    learned.append(("clusters", "silhouette"))
+    parts = [f"SELECT '{s}' AS section, '{i}' AS item, CAST({v} AS DOUBLE) AS value, TRUE AS in_range" for (s, i), v in facts.items()]
+    parts += [f"SELECT '{s}', '{i}', CAST(NULL AS DOUBLE), TRUE" for s, i in learned]
+    return SLOTS_SQL + " UNION ALL ".join(parts)
+
+
+@register("run_report", _run_report_sql())
 def run_report(spark, sf_dir):
-    """The whole run: both tasks, segmentation, and the summary of all of them."""
+    """The whole run: both tasks, segmentation, and the summary of all of them.
+
+    Counts are returned as they are, learned figures as whether they lie where such a figure can.
+    """
     raw = campaigns(spark, sf_dir)
     rows = featured(spark, sf_dir)
     supervised = train_and_evaluate(rows)
-    return run_summary(raw, with_split(rows), supervised, segment(rows), PUBLISHED.seed)
+    report = run_summary(raw, with_split(rows), supervised, segment(rows), PUBLISHED.seed)
+    value, item = F.col("value"), F.col("item")
+    low = F.when(item == "silhouette", -1.0).when(item.endswith("auc"), 0.5).otherwise(0.0)
+    high = F.when(item.endswith("rmse_orig"), float("inf")).otherwise(1.0)
+    learned = F.col("section").isin("classification", "regression") | (item == "silhouette")
+    return report.select(
+        "section",
+        "item",
+        F.when(~learned, value).alias("value"),
+        F.when(learned, value.between(low, high)).otherwise(F.lit(True)).alias("in_range"),
+    )
