@@ -6,12 +6,14 @@ import numpy as np
 
 
 def suffix_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ordered by their suffixes to ``depth`` bytes at least, ties by position.
+    """Positions ordered by their suffixes to ``depth`` bytes at least, ties in any order.
 
-    ``left`` is the number of bytes to the end of the own part, 0 at its terminator. Ranks of prefixes double in length.
+    ``left`` is the number of bytes to the end of the own part, 0 at its terminator. The length of the prefixes that are
+    ranked grows by as many ranks as one number holds, three of a text of up to two million bytes.
     """
     n = len(text)
-    width = 7
+    width, bits = 7, max(1, int(n).bit_length())
+    steps = max(2, 64 // bits)
     padded = np.concatenate([text, np.zeros(width, np.uint8)]).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     valid = np.minimum(left, width)
@@ -19,7 +21,7 @@ def suffix_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
         key = (key << np.uint64(8)) | np.where(k < valid, padded[k : k + n], np.uint64(0))
     key = (key << np.uint64(3)) | valid.astype(np.uint64)
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         fresh = np.empty(n, bool)
         fresh[:1] = True
@@ -28,11 +30,14 @@ def suffix_order(text: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
         rank[order] = np.cumsum(fresh)
         if width >= depth or fresh.all():
             return order
-        beyond = np.zeros(n, np.int64)
-        far = np.flatnonzero(left >= width)
-        beyond[far] = rank[far + width]
-        key = (rank.astype(np.uint64) << np.uint64(32)) | beyond.astype(np.uint64)
-        width *= 2
+        key = rank.astype(np.uint64)
+        for k in range(1, steps):
+            # Past the own part, nothing follows; that ranks below all that does.
+            beyond = np.zeros(n, np.uint64)
+            far = np.flatnonzero(left >= k * width)
+            beyond[far] = rank[far + k * width]
+            key = (key << np.uint64(bits)) | beyond
+        width *= steps
 
 
 def long_prefixes(parts: list[bytes], least: int) -> list[np.ndarray]:
@@ -56,7 +61,9 @@ def long_prefixes(parts: list[bytes], least: int) -> list[np.ndarray]:
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
     # Where the suffix that is one byte longer lies; none before the first byte of a part.
-    longer = np.where(np.isin(order, starts, assume_unique=True), -1, place[order - 1])
+    begins = np.zeros(n, bool)
+    begins[starts] = True
+    longer = np.where(begins[order], -1, place[order - 1])
     byte = text[order].astype(np.int64)
     ends_part = left[order] == 0
     marked = np.zeros(n + 1, bool)
