@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -131,29 +132,37 @@ class Identifier:
         self.scores = np.zeros((self.fresh + REMEMBERED, len(model.languages)))
         self.scores[: self.fresh] = model.word_scores
 
-    def backoff(self, word: str) -> np.ndarray:
-        """Mean log frequency of the longest n-grams of an unseen word of which any is known; 0 if none is."""
-        padded = f"<{word}>"
+    def _known_grams(self, word: str) -> list[int]:
+        """Entries of the longest n-grams of a word of which any is known; none if none is."""
+        padded, entry = f"<{word}>", self.model.grams.get
         for size in range(min(LONGEST_GRAM, len(padded)), 0, -1):
-            found = [
-                self.model.grams[g]
-                for g in (padded[i : i + size] for i in range(len(padded) - size + 1))
-                if g in self.model.grams
-            ]
+            found = [e for i in range(len(padded) - size + 1) if (e := entry(padded[i : i + size])) is not None]
             if found:
-                return self.model.gram_scores[found].mean(axis=0)
-        return np.zeros(len(self.model.languages))
+                return found
+        return []
+
+    def backoff(self, words: list[str]) -> np.ndarray:
+        """Mean log frequency of the longest known n-grams of each unseen word; 0 if none is known."""
+        found = [self._known_grams(w) for w in words]
+        counts = np.array([len(f) for f in found], np.int64)
+        scores = np.zeros((len(words), len(self.model.languages)))
+        some = np.flatnonzero(counts)
+        if len(some):
+            starts = np.cumsum(counts[some]) - counts[some]
+            rows = self.model.gram_scores[np.fromiter(chain.from_iterable(found), np.int64)]
+            scores[some] = np.add.reduceat(rows, starts, axis=0) / counts[some, None]
+        return scores
 
     def _total(self, words: list[str]) -> np.ndarray:
         """Sum of the scores of at most ``REMEMBERED`` words; what is remembered makes room for them if needed."""
-        missing = set(words).difference(self.rows)
+        missing = list(set(words).difference(self.rows))
         if len(self.rows) + len(missing) > self.fresh + REMEMBERED:
             self.rows = dict(self.model.words)
-            missing = set(words).difference(self.rows)
-        for word in missing:
+            missing = list(set(words).difference(self.rows))
+        if missing:
             at = len(self.rows)
-            self.scores[at] = self.backoff(word)
-            self.rows[word] = at
+            self.scores[at : at + len(missing)] = self.backoff(missing)
+            self.rows.update(zip(missing, range(at, at + len(missing)), strict=True))
         return self.scores[list(map(self.rows.__getitem__, words))].sum(axis=0)
 
     def identify(self, text: str | None) -> tuple[str, float]:

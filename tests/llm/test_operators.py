@@ -439,8 +439,55 @@ def test_backoff_goes_from_long_to_short():
     table = {"<ab": 0, "zz": 1, "q": 2}
     model = language.LanguageModel(["x", "y"], {}, np.zeros((0, 2)), table, np.array([[-1.0, -9], [-9, -1], [-2, -3]]))
     judge = language.Identifier(model)
-    assert judge.backoff("abc").tolist() == [-1, -9] and judge.backoff("zzz").tolist() == [-9, -1]
-    assert judge.backoff("q").tolist() == [-2, -3] and judge.backoff("é").tolist() == [0, 0]
+    assert judge.backoff(["abc", "é", "zzz", "q"]).tolist() == [[-1, -9], [0, 0], [-9, -1], [-2, -3]]
+    assert judge.backoff(["é"]).tolist() == [[0, 0]] and judge.backoff([]).shape == (0, 2)
+
+
+def test_languages_equal_plain_counting(spark):
+    """Tables and scores recomputed with dictionaries: words by frequency, the longest known n-grams of the others."""
+    r = random.Random(12)
+
+    def text(letters, n):
+        return " ".join("".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(n))
+
+    rows = [(i, ("x", "y", "z")[i % 3], text(("aabcde", "bcdeéf", "cdefgh")[i % 3], 30).title()) for i in range(24)]
+    rows += [(90, None, "aaa"), (91, "x", None), (92, "y", "1 2 !"), (93, "x", rows[0][2]), (93, "x", rows[0][2])]
+    model = language.learn_languages(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    words, grams = collections.Counter(), collections.Counter()
+    for _, lang, body in rows:
+        for w in re.findall(r"[^\W\d_]+", (body or "").lower()):
+            if lang:
+                words[w, lang] += 1
+    for w, lang in words:
+        for size in range(1, 6):
+            for i in range(len(w) + 2):
+                piece = f"<{w}>"[i : i + size]
+                if piece:
+                    grams[piece, lang] += 1
+
+    def logs(counts, entry):
+        entries = len({e for e, _ in counts})
+        return np.array([np.log((counts[entry, g] + 0.5) / (sum(n for (_, h), n in counts.items() if h == g) + 0.5 * (entries + 1))) for g in "xyz"])
+
+    assert model.languages == ["x", "y", "z"] and set(model.words) == {w for w, _ in words}
+    for w, at in model.words.items():
+        assert np.allclose(model.word_scores[at], logs(words, w))
+    texts = [text("abcdefgh", n) for n in (1, 3, 40, 200)] + ["Abc zzz 12", "ééé"]
+    found = language.identify_languages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model)
+    for x in found.collect():
+        total = np.zeros(3)
+        for w in re.findall(r"[^\W\d_]+", texts[x.doc_id].lower()):
+            if w in model.words:
+                total += logs(words, w)
+                continue
+            for size in range(5, 0, -1):
+                pieces = [f"<{w}>"[i : i + size] for i in range(len(w) + 3 - size)]
+                known = [logs(grams, g) for g in pieces if any(g == e for e, _ in grams)]
+                if known:
+                    total += np.mean(known, axis=0)
+                    break
+        best = int(np.argmax(total))
+        assert x.lang_pred == "xyz"[best] and x.score == pytest.approx(1 / np.exp(total - total[best]).sum())
 
 
 @pytest.mark.parametrize("bound", [1, 7, 40])
