@@ -13,23 +13,38 @@ TOKENIZER = public_tokenizers.path(packing.VOCABULARY)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learned from the labelled ones among them, does not reject."""
+    """Documents that the quality classifier, learned from the labelled ones among them, does not reject.
+
+    A null or empty text is scored like any other. Without labels of both kinds every document has one and the same score.
+    Repeated rows stay or go together, rows without a key are scored too, an empty table stays empty.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_model.filter_quality(docs, quality_model.learn_quality(docs, labels))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
+    """One document of each group of near duplicates, the one with the least id.
+
+    Documents without words, and those without a key, are in no group and stay. Repeated rows of a kept document stay
+    (they are one document, listed twice); an empty table stays empty.
+    """
     return near_dedup.drop_near_duplicates(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts replaced by a mark; lengths follow the new texts."""
+    """Secrets in the texts replaced by a mark; lengths follow the new texts.
+
+    A null text stays null with a null length, an empty one empty with length 0. All rows stay, repeated ones too.
+    """
     return secret_scan.redact_secrets(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated, once, or left out, so that sources meet their targets."""
+    """Documents repeated, once, or left out, so that sources meet their targets.
+
+    A null source is a source of its own. Documents without words have size 0 and may be left out. Repeated rows count
+    each, rows without a key share one place in the order, an empty table stays empty.
+    """
     # Whole rows travel as one column, so that no column of theirs can clash with the mix's own.
     rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))
     mixed = mixing.mix(rows, mixing.word_count(F.col("text")), carry=["row"])
@@ -37,7 +52,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every (repeated) document lies in the packed sequences."""
+    """Where every piece of every (repeated) document lies in the packed sequences.
+
+    A null or empty text is one piece of one id. Repeated rows are packed each; an empty table gives no rows.
+    """
     return packing.pack_digest(docs, TOKENIZER)
 
 

@@ -37,15 +37,15 @@ def fit_segments(vectors: DataFrame, spec: ClusterSpec = ClusterSpec()) -> tuple
         return small(clustering.elbow(held, {k: fitted[k] for k in spec.search})), fitted[spec.k]
 
 
-def segment(featured: DataFrame, spec: ClusterSpec = ClusterSpec()) -> Segments:
+def segment(featured: DataFrame, spec: ClusterSpec = ClusterSpec(), key: str = "ID") -> Segments:
     """Scale, search k, fit the chosen k, and describe the clusters.
 
     The enriched table (campaigns with their cluster) is staged once, so profiles, sizes and exports
     read columns of it instead of assigning every campaign again. Rows are sorted within partitions,
-    since the seeded choice of initial centers depends on their order.
+    since the seeded choice of initial centers depends on their order. ``key`` is published as ``ID``.
     """
-    kept = [c for c in reports.ENRICHED if c != "cluster"]
-    rows = stage(featured.select(*[quoted(c) for c in kept]).sortWithinPartitions("ID"), "segment-input")
+    columns = [quoted(key if c == "ID" else c).alias(c) for c in reports.ENRICHED if c != "cluster"]
+    rows = stage(featured.select(*columns).sortWithinPartitions("ID"), "segment-input")
     scaling = cluster_preparation(spec).fit(rows)
     prepared = scaling.transform(rows).drop("clust_vec")
     elbow, model = fit_segments(prepared, spec)

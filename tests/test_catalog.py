@@ -2,6 +2,7 @@
 
 import math
 import os
+import shutil
 import subprocess
 import sys
 
@@ -30,10 +31,8 @@ def test_every_twin_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_readme_lists_what_has_no_twin():
-    with open(os.path.join(os.path.dirname(os.path.abspath(entry.__file__)), "README.md"), encoding="utf-8") as f:
-        said = f.read().split("Without a twin are ")[1].split(", and of the corpus operators")[0]
-    assert set(said.split("`")[1::2]) == set(catalog.registry.QUERIES) - set(catalog.registry.SQL)
+def test_every_query_of_the_catalog_has_a_twin():
+    assert set(catalog.registry.QUERIES) == set(catalog.registry.SQL)
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
@@ -55,8 +54,32 @@ def test_no_python_in_the_plan(spark, sf_dir, name):
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
 
 
-def test_entry_without_the_corpus_operators():
-    code = "import sys; sys.modules['pledgekit.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries())"
-    root = os.path.dirname(os.path.abspath(entry.__file__))
-    shown = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120, check=True).stdout.split()
-    assert int(shown[0]) > 100 and shown[1] == "False"
+ROOT = os.path.dirname(os.path.abspath(entry.__file__))
+COUNT = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), len(e.oracle_sql()))"
+
+
+def shown(code, folder):
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, capture_output=True, text=True, timeout=120)
+    return done.stdout.split() or done.stderr
+
+
+@pytest.mark.parametrize("absent", ["pledgekit.llm", "public_tokenizers", "pyarrow"])
+def test_entry_without_the_corpus_operators(absent):
+    """The other queries are there without the subpackage, and without a module that only it needs."""
+    found = shown(f"import sys; sys.modules['{absent}'] = None; {COUNT}", ROOT)
+    assert found == [str(len(catalog.registry.QUERIES)), "False", str(len(catalog.registry.SQL))]
+
+
+def test_an_absent_module_of_the_library_is_an_error():
+    assert "ModuleNotFoundError" in shown(f"import sys; sys.modules['pledgekit.operators.lookups'] = None; {COUNT}", ROOT)
+
+
+def test_a_copy_without_the_corpus_folders(tmp_path):
+    """With both folders and the pipeline deleted, the entry file works, and all other tests can be collected."""
+    copy = tmp_path / "copy"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__", "*.json"))
+    found = shown(COUNT, copy)
+    assert found == [str(len(catalog.registry.QUERIES)), "False", str(len(catalog.registry.SQL))]
+    code = "import sys, pytest; sys.exit(pytest.main(['tests', '--collect-only', '-q', '-p', 'no:cacheprovider']))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "test_same_rows" in done.stdout, done.stdout[-500:]

@@ -2,13 +2,14 @@
 
 import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog.fixture import campaigns, featured as build_featured
 from pledgekit.operators import clustering, models, quality, reports
-from pledgekit.plans import profile
+from pledgekit.plans import profile, refresh
 from pledgekit.plans.campaigns import with_split
 from pledgekit.plans.export import export, model_changes, result_tables, run_summary
 from pledgekit.plans.run import run
@@ -16,7 +17,7 @@ from pledgekit.plans.segmentation import segment
 from pledgekit.plans.supervised import BOOSTED, FOREST, LINEAR, LOGISTIC, prepare_splits, train_and_evaluate
 from pledgekit.runtime import fresh_path
 from pledgekit.sources.publication import read_published, verify_published
-from pledgekit.sources.tables import CAMPAIGN_SCHEMA, write_csv
+from pledgekit.sources.tables import CAMPAIGN_SCHEMA, write_csv, write_parquet
 from pledgekit.spec import CampaignSpec, ClusterSpec, FeatureSpec, ModelSpec
 
 SPEC = ModelSpec(max_iter=20, forest_trees=(3, 5), boost_rounds=(2,), boost_depths=(2, 3))
@@ -220,6 +221,29 @@ def test_reports_of_an_empty_table(spark, sf_dir):
     assert {r["mean"] for r in found["numeric_summary"].collect()} == {None}
 
 
+def test_refreshed_years_equal_a_whole_run(spark, sf_dir, rows, segments):
+    """One year is stale and another absent; both are made anew from the raw table, files of other years stay."""
+    years = sorted(r[0] for r in rows.select("launched_year").distinct().collect())
+    whole = refresh.enrich(rows, segments)
+    assert whole.select("ID", "cluster").exceptAll(segments.enriched.select("ID", "cluster")).isEmpty()
+    path = fresh_path(spark, "test-years")
+    write_parquet(whole.filter((F.col("launched_year") != years[1]) & ((F.col("launched_year") != years[2]) | (F.col("ID") % 3 == 0))), path, ["launched_year"])
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path.removeprefix('file:')}/*/part-*")}
+    raw = write_parquet(campaigns(spark, sf_dir).withColumnRenamed("usd pledged", "usd_pledged"), fresh_path(spark, "test-raw"))
+    source = spark.read.parquet(raw)
+    report = refresh.refresh_years(source, segments, path, [years[1], years[2]])
+    counts = {r["launched_year"]: r["count"] for r in whole.groupBy("launched_year").count().collect()}
+    assert {r.value: r.rows for r in report.collect()} == {y: counts[y] for y in years[1:3]}
+    back = spark.read.schema(whole.schema).parquet(path).select(*whole.columns)
+    assert back.exceptAll(whole).isEmpty() and whole.exceptAll(back).isEmpty()
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path.removeprefix('file:')}/*/part-*")}
+    assert {f: t for f, t in before.items() if f"={years[2]}" not in f}.items() <= after.items()
+    plan = source.filter(refresh.launched_in([1995, 1996]))._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(launched,1995)" in plan
+    with pytest.raises(ValueError, match="years"):
+        refresh.refresh_years(source, segments, path, [])
+
+
 def test_run_summary_and_changes(spark, sf_dir, rows, supervised, segments):
     facts = run_summary(campaigns(spark, sf_dir), with_split(rows), supervised, segments, 42)
     found = {(r.section, r.item): r.value for r in facts.collect()}
