@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,14 @@ GROUP_PIECES = 20_000
 #: Bytes of words and their ids that a task remembers; longer chunks of a text than a word may be are not kept.
 REMEMBERED_BYTES, WORD_CHARS = 96 << 20, 100
 MARKS = ".,!?;:"
+MARK_SET = frozenset(MARKS)
 #: Where no such place is, every full stop and comma of a text is a word of its own. Letters that the tokenizer takes
 #: apart may end in a mark, which a stop or comma joins; up to the Latin letters that is the dotted capital I alone.
-ODD = re.compile(r"[^\w\s.,]|[.,_]{2}|[\u0130\u0250-\U0010ffff]")
+ODD = re.compile(r"[^\w\s.,]|[.,_]{2}")
+TAKEN_APART = re.compile(r"[\u0130\u0250-\U0010ffff]")
+#: The same test on the bytes of Latin-1 texts: what may stand there, and stops, commas and underscores as one sign.
+PLAIN_BYTES = bytes(i for i in range(256) if re.match(r"[\w\s.,]", chr(i)))
+STOPS = bytes(ord(".") if chr(i) in ".,_" else i for i in range(256))
 
 
 class WordEncoder:
@@ -48,33 +54,35 @@ class WordEncoder:
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
 
-    def _ids(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _ids(self, chunks: Iterable[str]) -> dict[str, bytes]:
         # A chunk of letters is one word to the tokenizer, so many can be encoded as one text and cut at word ends.
         words = [c for c in chunks if c.isalpha() and _latin(c)]
         lines = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
         encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.array([i for e in encoded for i in e.ids], "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        packed, at = ids.tobytes(), 0
+        ids = np.fromiter(chain.from_iterable([e.ids for e in encoded]), "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(stops) != len(words):
             raise AssertionError("a word of letters was split")
-        for c, stop in zip(words, (4 * stops).tolist(), strict=True):
-            yield c, packed[at:stop]
-            at = stop
-        rest = list(set(chunks).difference(words))
-        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            yield c, np.array(e.ids, "<u4").tobytes()
+        packed = ids.tobytes()
+        found = dict(zip(words, [packed[a:b] for a, b in zip([0, *stops], stops)], strict=True))
+        rest = [c for c in chunks if c not in found]
+        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        found |= zip(rest, [np.array(e.ids, "<u4").tobytes() for e in encoded], strict=True)
+        return found
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of the chunks; those of usual length are remembered too, within a bound of bytes."""
+        """Ids of chunks that are not remembered; those of usual length are from now on, within a bound of bytes."""
         # A mark after a letter is a word of its own, so "word." is "word" and ".".
-        ended = [c for c in chunks if len(c) > 1 and c[-1] in MARKS and _letter(c[-2])]
+        ended = [c for c in chunks if c[-1:] in MARK_SET and len(c) > 1 and _letter(c[-2])]
         wanted = chunks.difference(ended).union([c[:-1] for c in ended], [c[-1] for c in ended])
-        found = {c: x for c in wanted if (x := self.known.get(c)) is not None}
-        found |= self._ids([c for c in wanted if c not in found])
-        found |= {c: found[c[:-1]] + found[c[-1]] for c in ended}
-        fresh = {c: x for c, x in found.items() if len(c) <= WORD_CHARS and c not in self.known}
-        size = sum(len(c) + len(x) for c, x in fresh.items()) + 150 * len(fresh)
+        found = self._ids(wanted.difference(self.known))
+        for c in ended:
+            word, mark = c[:-1], c[-1]
+            found[c] = (found.get(word) or self.known[word]) + (found.get(mark) or self.known[mark])
+        fresh = found
+        if max(map(len, found), default=0) > WORD_CHARS:
+            fresh = {c: x for c, x in found.items() if len(c) <= WORD_CHARS}
+        size = sum(map(len, fresh)) + sum(map(len, fresh.values())) + 150 * len(fresh)
         if self.held + size > REMEMBERED_BYTES:
             self.known, self.held = {}, 0
         if size <= REMEMBERED_BYTES:
@@ -88,9 +96,14 @@ class WordEncoder:
         stops = []
         for text in texts:
             text = text or ""
-            if _latin(text):
+            try:
+                narrow = text.encode("latin-1")
+            except UnicodeEncodeError:
+                odd = ODD.search(text) or TAKEN_APART.search(text)
+            else:
                 text = text.lower()
-            if not ODD.search(text):
+                odd = narrow.translate(None, PLAIN_BYTES) or b".." in narrow.translate(STOPS)
+            if not odd:
                 text = text.replace(".", " .").replace(",", " ,")
             chunks += text.replace("\n", " ").split(" ")
             stops.append(len(chunks))
