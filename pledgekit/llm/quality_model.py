@@ -89,16 +89,18 @@ def dual_coordinate_descent(
     y = np.where(labels == 1, 1.0, -1.0)
     share = max(1e-9, float((y > 0).mean()))
     upper = np.where(y > 0, cost / (2 * share), cost / (2 * max(1e-9, 1 - share)))
-    values = [ratios[r] / np.sqrt(max(len(r), 1)) for r in rows]
-    norms = np.array([v @ v + 1.0 for v in values])
+    # Values are looked up again at every step; held for all documents, they would be most of the task's memory.
+    roots = [np.sqrt(max(len(r), 1)) for r in rows]
+    norms = np.array([v @ v + 1.0 for v in (ratios[r] / root for r, root in zip(rows, roots, strict=True))])
     alpha, w, b = np.zeros(len(rows)), np.zeros(SLOTS), 0.0
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            gradient = y[i] * (w[rows[i]] @ values[i] + b) - 1.0
+            value = ratios[rows[i]] / roots[i]
+            gradient = y[i] * (w[rows[i]] @ value + b) - 1.0
             new = min(max(alpha[i] - gradient / norms[i], 0.0), upper[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * value
                 b += step
                 alpha[i] = new
     return w * ratios, b
