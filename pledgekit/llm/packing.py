@@ -23,7 +23,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Pieces that are packed together in one task.
 GROUP_PIECES = 20_000
 #: Bytes of words and their ids that a task remembers; longer chunks of a text than a word may be are not kept.
-REMEMBERED_BYTES, WORD_CHARS = 96 << 20, 100
+REMEMBERED_BYTES, WORD_CHARS = 64 << 20, 100
 MARKS = ".,!?;:"
 MARK_SET = frozenset(MARKS)
 #: Where no such place is, every full stop and comma of a text is a word of its own. Letters that the tokenizer takes

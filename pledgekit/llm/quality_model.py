@@ -68,12 +68,15 @@ def _longest_run(flags: np.ndarray) -> int:
 
 def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """log of the smoothed share of each indicator among documents of label 1 over that among label 0."""
-    counts = []
+    shares = []
     for label in (1, 0):
-        own = [r for r, y in zip(rows, labels, strict=True) if y == label]
-        count = np.bincount(np.concatenate(own), minlength=SLOTS) if own else np.zeros(SLOTS)
-        counts.append((count + SMOOTHING) / (len(own) + 2 * SMOOTHING))
-    return np.log(counts[0] / counts[1])
+        count, n = np.zeros(SLOTS), 0
+        for row, y in zip(rows, labels, strict=True):
+            if y == label:
+                count[row] += 1  # a document has each of its slots once
+                n += 1
+        shares.append((count + SMOOTHING) / (n + 2 * SMOOTHING))
+    return np.log(shares[0] / shares[1])
 
 
 def dual_coordinate_descent(
@@ -110,6 +113,17 @@ def margins(rows: list[np.ndarray], weights: np.ndarray, intercept: float) -> np
     return np.array([weights[r].sum() / np.sqrt(max(len(r), 1)) + intercept for r in rows])
 
 
+#: Bytes of text whose indicators a task holds at a time when it scores.
+SCORE_BYTES = 512 << 10
+
+
+def text_margins(texts: pa.Array, model: QualityModel) -> np.ndarray:
+    """Margins of texts, a few at a time, as their indicators take many times the room of the text."""
+    parts = sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", SCORE_BYTES)
+    found = [margins(indicators(*raw(p.column(0))), model.weights, model.intercept) for p in parts]
+    return np.concatenate(found or [np.zeros(0)])
+
+
 def _scale(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the logistic curve from margin to the share of label 1 (Newton steps, lightly damped)."""
     x = np.stack([margin, np.ones(len(margin))], axis=1)
@@ -128,7 +142,7 @@ def _scale(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(texts: pa.Array, labels: np.ndarray) -> QualityModel:
     """Fit on four fifths of the rows, scale the margins on the last fifth."""
     rows: list[np.ndarray] = []
-    for part in sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+    for part in sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", SCORE_BYTES):
         rows += indicators(*raw(part.column(0)))
     if len(set(labels.tolist())) < 2:
         # Nothing to tell apart: every text scores like the only label, or one half without labels.
@@ -187,7 +201,7 @@ def score_quality(
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         m = QualityModel(*shared.value)
-        margin = margins(indicators(*raw(part.column("text"))), m.weights, m.intercept)
+        margin = text_margins(part.column("text"), m)
         score = 1 / (1 + np.exp(-np.clip(m.slope * margin + m.offset, -30, 30)))
         columns = [*(part.column(f"k{i}") for i in range(1 + len(keep))), pa.array(score), pa.array((score >= threshold).astype(np.int32))]
         return pa.RecordBatch.from_arrays(columns, names=[*(f"k{i}" for i in range(1 + len(keep))), "score", "predicted"])
@@ -207,7 +221,7 @@ def filter_quality(df: DataFrame, model: QualityModel, text: str = "text", thres
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         m = QualityModel(*shared.value)
-        margin = margins(indicators(*raw(part.column(part.schema.get_field_index(own)))), m.weights, m.intercept)
+        margin = text_margins(part.column(part.schema.get_field_index(own)), m)
         score = 1 / (1 + np.exp(-np.clip(m.slope * margin + m.offset, -30, 30)))
         return part.filter(pa.array(score >= threshold))
 
