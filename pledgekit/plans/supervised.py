@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Model, PipelineModel
@@ -20,16 +21,27 @@ LOGISTIC, FOREST = "Logistic Regression", "Random Forest (tuned)"
 LINEAR, BOOSTED = "Linear Regression", "GBT Regressor (tuned)"
 
 
+# Training rows of one task. Fits hold about 700 bytes of each (binned rows and errors of boosted trees).
+TASK_ROWS = 100_000
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Vectors of both splits, written once; each reader takes only its columns and split."""
 
     table: DataFrame
     model: PipelineModel
+    tasks: int = 1
+    key: str = "ID"
 
     @property
     def train(self) -> DataFrame:
-        return self.table.filter(F.col("split") == "train")
+        """Training rows, dealt evenly to ``tasks`` if these are several, since a fit keeps the rows of a task in memory.
+
+        How the files were written does not bound a task: it reads whole row groups, of any number of small rows.
+        """
+        rows = self.table.filter(F.col("split") == "train")
+        return rows if self.tasks == 1 else rows.repartition(self.tasks).sortWithinPartitions(quoted(self.key))
 
     @property
     def test(self) -> DataFrame:
@@ -75,7 +87,10 @@ def prepare_splits(
     encoded = prepare(rows, fitted, features).select(
         quoted(key), quoted(features.label), quoted(features.target), quoted(amount), "fold", *vectors, "split"
     )
-    return Prepared(stage(encoded, "encoded", ["split"]), fitted)
+    table = stage(encoded, "encoded", ["split"])
+    whole = math.ceil(table.filter(F.col("split") == "train").count() / TASK_ROWS)
+    tasks = max(whole, table.sparkSession.sparkContext.defaultParallelism) if whole > 1 else 1
+    return Prepared(table, fitted, tasks, key)
 
 
 def classification_long(scored: dict[str, DataFrame], label: str = "label") -> DataFrame:
