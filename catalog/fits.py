@@ -17,7 +17,7 @@ from catalog.fixture import campaigns, featured, split_featured, with_campaigns
 from catalog.registry import register, rounded
 from pledgekit.functions.columns import positive_probability, square, total
 from pledgekit.operators import clustering, encoding, evaluation, models, reports
-from pledgekit.plans.campaigns import with_split
+from pledgekit.plans.campaigns import clean, featurise, with_split
 from pledgekit.plans.export import run_summary
 from pledgekit.plans.segmentation import segment
 from pledgekit.plans.supervised import (
@@ -468,10 +468,11 @@ def _run_report_sql() -> str:
 def run_report(spark, sf_dir):
     """The whole run: both tasks, segmentation, and the summary of all of them.
 
-    Counts are returned as they are, learned figures as whether they lie where such a figure can.
+    Counts are returned as they are, learned figures as whether they lie where such a figure can. The joined campaigns
+    are written once, as a run writes its parsed files, since training, segmentation and both counts read them.
     """
-    raw = campaigns(spark, sf_dir)
-    rows = featured(spark, sf_dir)
+    raw = stage(campaigns(spark, sf_dir), "report-raw")
+    rows = raw.transform(clean).transform(featurise)
     supervised = train_and_evaluate(rows)
     report = run_summary(raw, with_split(rows), supervised, segment(rows), PUBLISHED.seed)
     value, item = F.col("value"), F.col("item")
